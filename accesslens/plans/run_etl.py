@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -145,20 +148,42 @@ def publish(
 
     `runtime` tells the seconds spent on the load; only a load of a single batch has one.
     """
-    for name in request.queries:
+
+    spark = tables.spark
+
+    def load_query(name: str) -> None:
         if request.pipeline == "sql":
             rows = run_sql(name, batched)
         else:
             rows = QUERIES[name](batched, by=BATCH)
         tables.load_query_results(name, rows, run_id, load_id)
-    metadata = batch_metadata(batched, every_batch)
-    if runtime is not None:
-        metadata = metadata.withColumn("batch_runtime_seconds", F.lit(runtime()))
-    tables.load_batches(metadata, run_id, load_id)
-    position = [c for c in POSITION if c in batched.columns]
-    written = tables.read_load(BATCH_METADATA, run_id, load_id)
-    samples = malformed_samples(batched, position)
-    tables.load_malformed(malformed_summary(written, samples), run_id, load_id)
+
+    def load_counts() -> None:
+        metadata = batch_metadata(batched, every_batch)
+        if runtime is not None:
+            metadata = metadata.withColumn("batch_runtime_seconds", F.lit(runtime()))
+        tables.load_batches(metadata, run_id, load_id)
+
+    def load_samples() -> None:
+        position = [c for c in POSITION if c in batched.columns]
+        summary = malformed_summary(batch_metadata(batched, every_batch), malformed_samples(batched, position))
+        tables.load_malformed(summary, run_id, load_id)
+
+    steps = [*[partial(load_query, name) for name in request.queries], load_samples]
+    if runtime is None:
+        _at_once(spark, *steps, load_counts)
+    else:
+        # A batch's runtime covers its queries, so it can only be stored after them.
+        _at_once(spark, *steps)
+        load_counts()
+
+
+def _at_once(spark: SparkSession, *steps: Callable[[], None]) -> None:
+    """Submit independent jobs together: one fills the cores that another's last tasks leave idle."""
+    same_session = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(len(steps)) as pool:
+        for submitted in [pool.submit(same_session(step)) for step in steps]:
+            submitted.result()
 
 
 def record_run(tables: RunTables, request: RunRequest, run_id: int, seconds: float) -> None:

@@ -85,6 +85,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def make_folder(spark: SparkSession, path: str) -> bool:
+    """Create a folder; False if it was there already."""
+    fs, target = hadoop_path(spark, path)
+    return not fs.exists(target) and fs.mkdirs(target)
+
+
 def delete_path(spark: SparkSession, path: str) -> bool:
     """Remove a folder this library wrote; False if it was not there."""
     fs, target = hadoop_path(spark, path)

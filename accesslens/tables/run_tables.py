@@ -23,7 +23,7 @@ from accesslens.schema import (
     RUN_METADATA,
     TABLE_COLUMNS,
 )
-from accesslens.session import delete_path, path_exists
+from accesslens.session import delete_path, make_folder
 
 PARTITIONS = "run_id INT, load_id INT"
 _STATUS = "table_name string, status string"
@@ -59,7 +59,7 @@ class RunTables:
 
     def _create(self, table: str) -> str:
         name, known = self.name(table), self.spark.catalog.tableExists(self.name(table))
-        held = path_exists(self.spark, self.path(table))
+        held = not make_folder(self.spark, self.path(table))
         if not known:
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in TABLE_COLUMNS[table])
             location = self.path(table).replace("'", "\\'")
