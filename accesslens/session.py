@@ -11,11 +11,32 @@ from pyspark.sql import functions as F
 # A broadcast table of this many narrow rows stays near 200 MB on each executor.
 BROADCAST_ROW_LIMIT = 1_000_000
 
+# Partitions to shuffle into: text per partition, and how few and how many.
+SHUFFLE_BYTES = 256 * 2**20
+FEWEST_SHUFFLES = 200
+MOST_SHUFFLES = 100_000
+
 _local_folders: dict[str, str] = {}
 
 
-def build_session(app_name: str = "accesslens", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with adaptive execution, skew-join splitting and UTC timestamps."""
+def shuffle_partitions(input_bytes: int) -> int:
+    """How many partitions to shuffle into before adaptive execution merges small ones.
+
+    About one per 256 MB of text. Merging can only lower the number, so it has to
+    start high enough for a partition to fit in a task's memory.
+    """
+    return min(max(input_bytes // SHUFFLE_BYTES, FEWEST_SHUFFLES), MOST_SHUFFLES)
+
+
+def build_session(
+    app_name: str = "accesslens", master: str | None = None, input_bytes: int | None = None, **conf: str
+) -> SparkSession:
+    """A session with adaptive execution, skew-join splitting and UTC timestamps.
+
+    `input_bytes`, the size of the logs, sets the number of shuffle partitions.
+    """
+    if input_bytes is not None:
+        conf = {"spark.sql.shuffle.partitions": str(shuffle_partitions(input_bytes)), **conf}
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.adaptive.enabled", "true")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import time
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,9 @@ from accesslens.session import delete_path, path_exists, scratch_path, stage
 from accesslens.sources.log_files import list_log_files, located_lines, open_text, with_file_no
 from accesslens.tables.run_tables import RunTables
 
+# Every load is a partition of the run tables.
+MOST_LOADS = 1_000
+
 
 def stream_file_batches(
     spark: SparkSession,
@@ -24,52 +28,54 @@ def stream_file_batches(
     prefix: str = "",
     query: str = ALL_QUERIES,
     run_id: int | None = None,
-    files_per_trigger: int = 1,
+    files_per_trigger: int | None = None,
     checkpoint: str | None = None,
 ) -> int:
     """Process the files of a folder a few at a time, one batch per file; returns the run id.
 
-    A micro-batch publishes under its own load id, so one that is repeated after a
-    failure overwrites itself. To resume a run, call again with its run_id and
-    checkpoint. Files arrive by age, but batch ids follow the sorted listing taken
-    when the run began.
+    Up to MOST_LOADS files go one by one, and the time each took is stored; of more
+    files, so many go together that the run stays within that number of loads.
+    Files arrive by age, but batch ids follow the sorted listing taken when the run
+    began. A micro-batch publishes under its own load id, so one that is repeated
+    after a failure overwrites itself. To resume a run, call again with its run_id
+    and checkpoint.
     """
     request = RunRequest("stream", query)
     tables.init_tables()
     run_id = tables.next_run_id() if run_id is None else int(run_id)
     checkpoint = checkpoint or scratch_path(spark, f"run-{run_id}-stream")
     work = scratch_path(spark, f"run-{run_id}")
-    listing = f"{checkpoint}/listing"
-    if path_exists(spark, f"{listing}/_SUCCESS"):
+    listing, progress = f"{checkpoint}/listing", f"{checkpoint}/progress"
+    if path_exists(spark, progress):
         files = spark.read.parquet(listing)
     else:
         tables.delete_run(run_id)
         files = stage(list_log_files(spark, folder, prefix), listing)
+    together = files_per_trigger or math.ceil(files.count() / MOST_LOADS)
 
     def load(lines: DataFrame, epoch: int) -> None:
         started = time.monotonic()
         # A micro-batch frame keeps the partitions of its scan, so ids are in line order.
         placed = lines.withColumn("scan_pos", F.monotonically_increasing_id())
-        parsed = stage_parsed(with_file_no(placed, files), request, spark, f"{work}/epoch-{epoch}")
-        single = files_per_trigger == 1
+        path = f"{work}/epoch-{epoch}"
+        parsed = stage_parsed(with_file_no(placed, files), request, spark, path)
         publish(
             tables,
             batch_by_file(parsed),
             request,
             run_id,
             load_id=epoch + 1,
-            runtime=(lambda: round(time.monotonic() - started, 3)) if single else None,
+            runtime=(lambda: round(time.monotonic() - started, 3)) if together == 1 else None,
         )
+        delete_path(spark, path)
 
     started = time.monotonic()
     try:
-        text = open_text(
-            spark.readStream.option("maxFilesPerTrigger", files_per_trigger), folder, prefix
-        )
+        reader = spark.readStream.option("maxFilesPerTrigger", together)
         stream = (
-            located_lines(text)
+            located_lines(open_text(reader, folder, prefix))
             .writeStream.foreachBatch(load)
-            .option("checkpointLocation", f"{checkpoint}/progress")
+            .option("checkpointLocation", progress)
             .trigger(availableNow=True)
             .start()
         )

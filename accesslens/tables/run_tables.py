@@ -29,6 +29,11 @@ PARTITIONS = "run_id INT, load_id INT"
 _STATUS = "table_name string, status string"
 
 
+def _quoted(text: str) -> str:
+    """Text for use between single quotes in SQL."""
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
 class RunTables:
     """Result and metadata tables of all runs below one folder."""
 
@@ -54,7 +59,7 @@ class RunTables:
 
         Data that another session left below the root is taken over.
         """
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database}")
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database} LOCATION '{_quoted(self.root)}'")
         return self._status([(table, self._create(table)) for table in TABLE_COLUMNS])
 
     def _create(self, table: str) -> str:
@@ -62,10 +67,9 @@ class RunTables:
         held = not make_folder(self.spark, self.path(table))
         if not known:
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in TABLE_COLUMNS[table])
-            location = self.path(table).replace("'", "\\'")
             self.spark.sql(
                 f"CREATE TABLE IF NOT EXISTS {name} ({columns}, {PARTITIONS}) "
-                f"USING parquet PARTITIONED BY (run_id, load_id) LOCATION '{location}'"
+                f"USING parquet PARTITIONED BY (run_id, load_id) LOCATION '{_quoted(self.path(table))}'"
             )
             if held:
                 self.spark.sql(f"MSCK REPAIR TABLE {name}")
@@ -126,12 +130,12 @@ class RunTables:
 
     def next_run_id(self) -> int:
         """One past the highest id in use. With several writers, hand out the ids yourself."""
-        return 1 + max((self._highest(t) for t in (RUN_METADATA, BATCH_METADATA)), default=0)
-
-    def _highest(self, table: str) -> int:
-        listed = self.spark.sql(f"SHOW PARTITIONS {self.name(table)}")
+        used = self._partitions(RUN_METADATA).unionByName(self._partitions(BATCH_METADATA))
         run_id = F.regexp_extract("partition", r"run_id=(\d+)", 1).cast("int")
-        return listed.agg(F.coalesce(F.max(run_id), F.lit(0)).alias("top")).first()["top"]
+        return used.agg((F.coalesce(F.max(run_id), F.lit(0)) + 1).alias("free")).first()["free"]
+
+    def _partitions(self, table: str) -> DataFrame:
+        return self.spark.sql(f"SHOW PARTITIONS {self.name(table)}")
 
     # -- reading -----------------------------------------------------------
 

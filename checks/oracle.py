@@ -243,7 +243,7 @@ ORACLE: dict[str, str] = {
     "stream_file_batches": _parsed(_daily("by_file")),
     "parse_log_lines": _parsed("""
         SELECT line_no, host, log_date, log_hour, http_method, resource_path, protocol_version,
-               status_code, bytes_raw, bytes_transferred, is_valid
+               status_code, bytes_raw, bytes_transferred
         FROM parsed"""),
     "filter_valid": _parsed("SELECT line_no, host, resource_path FROM parsed WHERE is_valid"),
     "malformed_lines": _parsed("SELECT line_no, line FROM parsed WHERE NOT is_valid"),

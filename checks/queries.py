@@ -124,7 +124,7 @@ def stream_file_batches(spark, sf):
 
 @register
 def parse_log_lines_(spark, sf):
-    return parsed_lines(spark, sf).drop("line")
+    return parsed_lines(spark, sf).drop("line", "is_valid")
 
 
 @register
