@@ -54,8 +54,12 @@ def group_of(parts: Column, name: str) -> Column:
 
 
 def clean_bytes(raw: Column) -> Column:
-    """`-` counts 0; anything that is no bigint is NULL, so a sum skips it."""
-    return F.when(raw == NO_BYTES, F.lit(0).cast("bigint")).otherwise(raw.try_cast("bigint"))
+    """`-` counts 0; anything that is no bigint is NULL, so a sum skips it.
+
+    A cast alone would strip control characters and take the rest for a number.
+    """
+    plain = F.btrim(raw, F.lit("+-0123456789")) == ""
+    return F.when(raw == NO_BYTES, F.lit(0).cast("bigint")).when(plain, raw.try_cast("bigint"))
 
 
 def cast_status(status: Column) -> Column:

@@ -13,8 +13,8 @@ SPLIT = ("file_no", "block_start")
 def split_offsets(located: DataFrame) -> DataFrame:
     """What to add to `scan_pos` in each split to get the line number from 0.
 
-    One row per split of about 128 MB, so 100 TB make some 800,000 narrow rows.
-    The prefix sum runs per file, then over one row per file.
+    One row per split; 100 TB make 200,000 to 800,000 narrow rows. The prefix sum
+    runs per file, then over one row per file, which is the only single-task step.
     """
     sizes = located.groupBy(*SPLIT).agg(
         F.count(F.lit(1)).alias("lines"), F.min("scan_pos").alias("first_pos")

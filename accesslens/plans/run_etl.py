@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import warnings
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -65,7 +66,8 @@ class RunRequest:
             if self.pipeline == "stream":
                 raise ValueError("the stream pipeline takes files as they come: use file_based")
         else:
-            # File batches ignore a size, and none is recorded for them.
+            if self.batch_size is not None:
+                warnings.warn(f"batch_size is ignored by {self.batch_strategy} batches", stacklevel=3)
             object.__setattr__(self, "batch_size", None)
 
     @property

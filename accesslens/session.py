@@ -16,6 +16,10 @@ SHUFFLE_BYTES = 256 * 2**20
 FEWEST_SHUFFLES = 200
 MOST_SHUFFLES = 100_000
 
+# Splits to scan in: the usual size, grown so that even 100 TB make only so many tasks.
+SCAN_BYTES = 128 * 2**20
+MOST_SCANS = 200_000
+
 _local_folders: dict[str, str] = {}
 
 
@@ -28,15 +32,24 @@ def shuffle_partitions(input_bytes: int) -> int:
     return min(max(input_bytes // SHUFFLE_BYTES, FEWEST_SHUFFLES), MOST_SHUFFLES)
 
 
+def scan_bytes(input_bytes: int) -> int:
+    """How much text one scan task reads."""
+    return max(SCAN_BYTES, input_bytes // MOST_SCANS)
+
+
 def build_session(
     app_name: str = "accesslens", master: str | None = None, input_bytes: int | None = None, **conf: str
 ) -> SparkSession:
     """A session with adaptive execution, skew-join splitting and UTC timestamps.
 
-    `input_bytes`, the size of the logs, sets the number of shuffle partitions.
+    `input_bytes`, the size of the logs, sets the sizes of scan splits and shuffles.
     """
     if input_bytes is not None:
-        conf = {"spark.sql.shuffle.partitions": str(shuffle_partitions(input_bytes)), **conf}
+        sizes = {
+            "spark.sql.shuffle.partitions": str(shuffle_partitions(input_bytes)),
+            "spark.sql.files.maxPartitionBytes": str(scan_bytes(input_bytes)),
+        }
+        conf = {**sizes, **conf}
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.adaptive.enabled", "true")
@@ -79,7 +92,7 @@ def stage(frame: DataFrame, path: str, spark: SparkSession | None = None) -> Dat
     Later jobs read only the columns they need, a lost executor costs no
     recomputation, and values that depend on the scan order are frozen.
     """
-    frame.write.mode("overwrite").parquet(path)
+    frame.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return (spark or frame.sparkSession).read.schema(frame.schema).parquet(path)
 
 

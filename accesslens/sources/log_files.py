@@ -29,9 +29,10 @@ def open_text(reader, folder: str, prefix: str) -> DataFrame:
 def list_log_files(spark: SparkSession, folder: str, prefix: str = "") -> DataFrame:
     """(file_no, path) of the plain files in `folder` whose name starts with `prefix`.
 
-    Numbers run from 1 in path order. `folder` may be a glob; sub-folders are not
-    entered. Empty files are listed although a scan skips them. The listing is
-    Spark's own file index, so it names exactly the files a scan will read.
+    Numbers run from 1 in path order. `folder` may be a glob. Sub-folders are not
+    entered, unless their names are partitions (`day=...`) to Spark. Empty files are
+    listed although a scan skips them. The listing is Spark's own file index, so it
+    names exactly the files a scan will read.
     """
     try:
         paths = sorted(open_text(spark.read, folder, prefix).inputFiles())

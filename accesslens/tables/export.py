@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from accesslens.schema import RATE_DECIMALS
+from accesslens.schema import (
+    ALL_QUERIES,
+    MALFORMED_SUMMARY,
+    QUERY_NAMES,
+    QUERY_TABLES,
+    RATE_DECIMALS,
+)
+from accesslens.tables.run_tables import RunTables
 
 # Ten times the usual JDBC batch: result rows are narrow.
 JDBC_BATCH_ROWS = 10_000
@@ -19,12 +26,19 @@ def export_tsv(rows: DataFrame, folder: str) -> None:
     CSV writer would put quotes around a path that contains one. Rates have six
     decimals.
     """
-    texts = [
-        F.coalesce(_as_text(rows, name), F.lit("")) for name in rows.columns
-    ]
+    texts = [F.coalesce(_as_text(rows, name), F.lit("")) for name in rows.columns]
     rows.select(F.concat_ws("\t", *texts).alias("value")).write.mode("overwrite").text(folder)
 
 
+def export_run(tables: RunTables, run_id: int, folder: str) -> None:
+    """A run's rows of each query that ran, and its malformed counts, a sub-folder each."""
+    query = tables.run(run_id)["query_name"]
+    for name in QUERY_NAMES if query == ALL_QUERIES else (query,):
+        export_tsv(tables.read_ordered(QUERY_TABLES[name], run_id).drop("run_id"), f"{folder}/{name}")
+    malformed = tables.read_ordered(MALFORMED_SUMMARY, run_id)
+    export_tsv(malformed.select("batch_id", "malformed_count"), f"{folder}/malformed")
+
+
 def _as_text(rows: DataFrame, name: str):
     column = F.col(name)
     if dict(rows.dtypes)[name] in ("double", "float"):

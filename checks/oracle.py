@@ -292,7 +292,7 @@ ORACLE: dict[str, str] = {
         FROM (VALUES (1, 70::BIGINT), (2, 3), (3, 999999999999), (4, 70), (5, 41)) AS asked(position, run_id)
         LEFT JOIN runs ON runs.run_id = asked.run_id"""),
     "list_runs": _runs("SELECT * FROM runs ORDER BY run_id"),
-    "list_runs_of_pipeline": _runs("SELECT * FROM runs WHERE pipeline_name = '2-HIGH' ORDER BY run_id LIMIT 25"),
+    "list_runs_filtered": _runs("SELECT * FROM runs WHERE pipeline_name = '2-HIGH' ORDER BY run_id LIMIT 25"),
     "latest_run": _runs("SELECT * FROM runs WHERE pipeline_name = '5-LOW' ORDER BY run_id DESC LIMIT 1"),
     "runtime_ranking": _runs("""
         SELECT CAST(row_number() OVER (PARTITION BY batch_strategy ORDER BY runtime_seconds, run_id) AS INTEGER)
@@ -334,6 +334,7 @@ ORACLE: dict[str, str] = {
     "reset_tables": _parsed(_row_counts("by_count", "CAST(1 AS INTEGER) AS run_id")),
     "delete_run": _parsed(_row_counts("by_count", "CAST(2 AS INTEGER) AS run_id")),
     "export_tsv": _parsed(_hourly()),
+    "export_run": _parsed(_resources("by_count")),
     "run_etl": _parsed(_hourly("by_file")),
     "run_etl_record_count": _parsed(_resources("by_count")),
     "run_etl_sql": _parsed(_hourly("by_count")),

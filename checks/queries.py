@@ -35,7 +35,7 @@ from accesslens.schema import (
 )
 from accesslens.session import scratch_path
 from accesslens.sources import list_log_files, log_table_view, trim_nonblank
-from accesslens.tables import RunTables, export_tsv
+from accesslens.tables import RunTables, export_run, export_tsv
 from checks.inputs import (
     BATCH_LINES,
     LOG_PREFIX,
@@ -254,7 +254,7 @@ def list_runs(spark, sf):
 
 
 @register
-def list_runs_of_pipeline(spark, sf):
+def list_runs_filtered(spark, sf):
     return history.list_runs(run_history(spark, sf), "2-HIGH", limit=25)
 
 
@@ -383,6 +383,15 @@ def export_tsv_(spark, sf):
     return back.csv(folder)
 
 
+@register
+def export_run_(spark, sf):
+    tables, run_id = finished_run(spark, sf, "record_count")
+    folder = scratch_path(spark, "run-tsv")
+    export_run(tables, run_id, folder)
+    columns = TABLE_COLUMNS[QUERY_TABLES["query2"]]
+    return spark.read.option("sep", "\t").option("quote", "").schema(columns).csv(f"{folder}/query2")
+
+
 @register
 def run_etl(spark, sf):
     tables, run_id = finished_run(spark, sf, "file_based")

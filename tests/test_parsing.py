@@ -1,10 +1,14 @@
 """Hand-written lines at the edges of the grammar, with the fields they must give."""
 
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from accesslens.operators.aggregates import malformed_count
 from accesslens.operators.parsing import filter_valid, malformed_lines, parse_log_lines
+from accesslens.schema import LOG_GROUPS, LOG_PATTERN
 from accesslens.sources import trim_nonblank
 
 T = "[01/Jul/1995:00:00:01 -0400]"
@@ -114,3 +118,56 @@ def test_the_pattern_runs_once(spark):
     assert once.count("regexp_replace(") == 1 and "RLIKE" not in once
     counted = plan_of(malformed_count(parse_log_lines(lines)))
     assert "regexp_replace(" not in counted and counted.count("RLIKE") == 1
+
+
+def mutated_lines(count=6000, seed=11):
+    """Lines put together from good and bad pieces, some with a character changed."""
+    rng = random.Random(seed)
+    spaces = [" "] * 150 + ["  ", "\t", "\x0b", "\f", "", "\xa0", "\x1c"]
+    pieces = [
+        ["h1", "a|b", "é.example", "\x01", "", "x y"],
+        ["-"] * 9 + ["u", "--"],
+        ["-"] * 9 + ["frank"],
+        ["[01/Jul/1995:00:00:01"] * 9 + ["[1/Jul/1995:00:00:01", "[01/J_l/1995:99:99:99", "[01/Jül/1995:00:00:01"],
+        ["-0400]"] * 9 + ["+0400]", "-040]"],
+        ['"GET'] * 9 + ['GET', '""', '"'],
+        ["/a", '/a"b', "/$1", "/\\d", '"', ""],
+        ['HTTP/1.0"'] * 6 + ['"', 'HTTP/1.0', '" "', '"x"'],
+        ["200"] * 9 + ["20", "2000", "20x", "٢٠٠"],
+        ["-", "0", "17", "1x", "99999999999999999999", "+5", "-7", "1.5", "", "x\x85", "\x85", "5\x7f", "\x015"],
+    ]
+    for _ in range(count):
+        line = "".join(rng.choice(p) + rng.choice(spaces) for p in pieces)
+        if rng.random() < 0.3:
+            at = rng.randrange(len(line))
+            line = line[:at] + rng.choice(' "[]-:/\t\x00\x7fé9') + line[at + rng.randrange(2) :]
+        yield line
+
+
+def python_fields(line):
+    match = re.fullmatch(LOG_PATTERN.removeprefix("^").removesuffix("$"), line, re.ASCII)
+    if not match:
+        return dict.fromkeys(LOG_GROUPS)
+    fields = dict(zip(LOG_GROUPS, match.groups()))
+    return {**fields, "status_code": int(fields["status_code"])}
+
+
+def test_random_lines_parse_as_in_python(spark):
+    control = "".join(map(chr, range(33)))
+    raw = list(dict.fromkeys(mutated_lines()))
+    lines = trim_nonblank(spark.createDataFrame(list(enumerate(raw)), "n int, line string"))
+    parsed = parse_log_lines(lines).select("n", "line", "is_valid", *LOG_GROUPS, "bytes_transferred").collect()
+    assert {r["n"] for r in parsed} == {n for n, line in enumerate(raw) if line.strip(control)}
+    valid = 0
+    for row in parsed:
+        line = raw[row["n"]].strip(control)
+        want = python_fields(line)
+        assert row["line"] == line
+        assert {g: row[g] for g in LOG_GROUPS} == want, line
+        assert row["is_valid"] == (want["host"] is not None)
+        size = want["bytes_raw"]
+        if size is not None:
+            number = 0 if size == "-" else int(size) if re.fullmatch(r"[+-]?[0-9]{1,18}", size) else None
+            assert row["bytes_transferred"] == number, line
+            valid += 1
+    assert 300 < valid < len(parsed)

@@ -10,7 +10,7 @@ from accesslens.plans.reports import comparison, run_report
 from accesslens.plans.run_etl import RunRequest, run_etl
 from accesslens.schema import BATCH_METADATA, MALFORMED_SUMMARY, QUERY_TABLES, TABLE_COLUMNS
 from accesslens.streaming import stream_file_batches
-from accesslens.tables import RunTables, export_tsv, jdbc_options
+from accesslens.tables import RunTables, export_run, export_tsv, jdbc_options
 
 LINE = 'h{host} - - [0{day}/Jul/1995:0{hour}:00:00 -0400] "GET /p{path}" {status} {size}'
 
@@ -214,7 +214,21 @@ def test_arguments_are_checked(wrong):
 
 
 def test_file_batches_ignore_a_size():
-    assert RunRequest("sql", batch_size=10).batch_size is None
+    with pytest.warns(UserWarning, match="ignored"):
+        assert RunRequest("sql", batch_size=10).batch_size is None
+
+
+def test_export_of_a_run(spark, tables, logs, tmp_path):
+    run_id = run_etl(spark, tables, str(logs), batch_strategy="record_count", batch_size=900, prefix="access_")
+    export_run(tables, run_id, str(tmp_path / "out"))
+
+    def rows(name):
+        return {tuple(r["value"].split("\t")) for r in spark.read.text(str(tmp_path / "out" / name)).collect()}
+
+    assert rows("malformed") == {("1", "9"), ("2", "9"), ("3", "2")}
+    errors = tables.read(QUERY_TABLES["query3"], run_id).drop("run_id").collect()
+    assert rows("query3") == {tuple(map(str, r)) for r in errors}
+    assert len(rows("query2")) == 60
 
 
 def test_tsv_is_not_quoted(spark, tmp_path):
