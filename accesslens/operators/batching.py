@@ -13,30 +13,16 @@ SPLIT = ("file_no", "block_start")
 def split_offsets(located: DataFrame) -> DataFrame:
     """What to add to `scan_pos` in each split to get the line number from 0.
 
-    One row per split; 100 TB make 200,000 to 800,000 narrow rows. The prefix sum
-    runs per file, then over one row per file, which is the only single-task step.
+    The lines are counted per split on all executors. The prefix sum then runs over
+    one narrow row per split in a single task: 200,000 rows, some 5 MB, for 100 TB in
+    splits of 512 MB, and four times that at 128 MB.
     """
     sizes = located.groupBy(*SPLIT).agg(
         F.count(F.lit(1)).alias("lines"), F.min("scan_pos").alias("first_pos")
     )
-    # Totals up to and including this row, less the row itself: what came before.
-    in_file = Window.partitionBy("file_no").orderBy("block_start")
-    in_file = in_file.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    over_files = Window.orderBy("file_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    files = sizes.groupBy("file_no").agg(F.sum("lines").alias("file_lines"))
-    before_file = files.select(
-        "file_no",
-        (F.sum("file_lines").over(over_files) - F.col("file_lines")).alias("before_file"),
-    )
-    before_split = (F.sum("lines").over(in_file) - F.col("lines")).alias("before_split")
-    return (
-        sizes.select(*SPLIT, "first_pos", before_split)
-        .join(before_file, "file_no")
-        .select(
-            *SPLIT,
-            (F.col("before_file") + F.col("before_split") - F.col("first_pos")).alias("shift"),
-        )
-    )
+    up_to_here = Window.orderBy(*SPLIT).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = F.sum("lines").over(up_to_here) - F.col("lines")
+    return sizes.select(*SPLIT, (before - F.col("first_pos")).alias("shift"))
 
 
 def number_lines(located: DataFrame, path: str | None = None) -> DataFrame:

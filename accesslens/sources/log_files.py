@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from accesslens.functions.log_fields import NON_BLANK
 from accesslens.operators.parsing import parse_log_lines
 from accesslens.session import broadcast_if_small
 
-_LISTING = "file_no int, path string"
+_LISTING = pa.schema([("file_no", pa.int32()), ("path", pa.string())])
 
 
 def _literal_glob(text: str) -> str:
@@ -42,7 +43,7 @@ def list_log_files(spark: SparkSession, folder: str, prefix: str = "") -> DataFr
         if prefix and spark.read.text(folder).inputFiles():
             raise FileNotFoundError(f"no file named {prefix}* in log folder: {folder}")
         raise FileNotFoundError(f"log folder is empty: {folder}")
-    return spark.createDataFrame(list(enumerate(paths, start=1)), _LISTING)
+    return spark.createDataFrame(pa.table([range(1, len(paths) + 1), paths], schema=_LISTING))
 
 
 def scan_log_text(spark: SparkSession, folder: str, prefix: str = "") -> DataFrame:

@@ -142,3 +142,22 @@ def test_view_over_a_folder(spark, folder):
 def test_scan_reads_only_what_is_asked(spark, folder):
     plan = scan_log_text(spark, str(folder), "access_log_").select("source_file").where("source_file IS NULL")
     assert "decode" not in plan._jdf.queryExecution().executedPlan().toString().lower()
+
+
+def test_numbers_are_the_same_without_any_broadcast(spark, folder, small_splits, monkeypatch):
+    from accesslens.operators import batching
+    from accesslens.sources import log_files
+
+    monkeypatch.setattr(log_files, "broadcast_if_small", lambda frame: frame)
+    monkeypatch.setattr(batching, "broadcast_if_small", lambda frame: frame)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        files = list_log_files(spark, str(folder), "access_log_")
+        located = with_file_no(scan_log_text(spark, str(folder), "access_log_"), files)
+        staged = stage(located, str(folder / "_staged3"))
+        numbered = number_lines(staged, str(folder / "_offsets3"))
+        assert "BroadcastHashJoin" not in numbered._jdf.queryExecution().executedPlan().toString()
+        got = [r["line"] for r in numbered.orderBy("line_no").collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == [line for _, line in expected_lines(log_paths(folder))]
