@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from accesslens.operators.batch_totals import batch_metadata, malformed_summary
 from accesslens.operators.batching import batch_by_file
-from accesslens.plans.run_etl import RunRequest, publish, record_run, stage_parsed
+from accesslens.plans.publishing import RunRequest, publish, record_run, stage_parsed
 from accesslens.schema import ALL_QUERIES, BATCH_METADATA
 from accesslens.session import delete_path, path_exists, scratch_path, stage
 from accesslens.sources.log_files import list_log_files, located_lines, open_text, with_file_no

@@ -85,8 +85,8 @@ class RunTables:
         return self.init_tables()
 
     def delete_run(self, run_id: int) -> None:
-        """Remove a run from every table; the run row goes last."""
-        for table in reversed(TABLE_COLUMNS):
+        """Remove a run from every table; its own row goes first, so nobody takes the rest for complete."""
+        for table in TABLE_COLUMNS:
             self._delete_partition(table, run_id)
 
     def _delete_partition(self, table: str, run_id: int, load_id: int | None = None) -> None:

@@ -41,7 +41,6 @@ from checks.inputs import (
     LOG_PREFIX,
     finished_run,
     log_folder,
-    log_lines,
     new_tables,
     padded_lines,
     parsed_lines,

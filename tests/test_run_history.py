@@ -100,7 +100,8 @@ def test_consistency_counts_missing_runs_as_zero(spark, runs):
 
 
 def test_page_shows_the_first_rows_and_counts_all(spark):
-    rows = spark.createDataFrame([(1, b, v) for b in (2, 1) for v in (3, 1, 2)] + [(2, 1, 1)], "run_id int, batch_id int, v int")
+    stored = [(1, b, v) for b in (2, 1) for v in (3, 1, 2)] + [(2, 1, 1)]
+    rows = spark.createDataFrame(stored, "run_id int, batch_id int, v int")
     page = history.result_page(rows, ["v"], 4).orderBy("run_id", "place").collect()
     assert [(r["run_id"], r["place"], r["batch_id"], r["v"], r["total_rows"]) for r in page] == [
         (1, 1, 1, 1, 6),

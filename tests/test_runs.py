@@ -5,9 +5,10 @@ import datetime
 import pytest
 
 from accesslens.operators.run_history import result_diff
-from accesslens.plans import run_etl as run_module
+from accesslens.plans import publishing
 from accesslens.plans.reports import comparison, run_report
-from accesslens.plans.run_etl import RunRequest, run_etl
+from accesslens.plans.publishing import RunRequest
+from accesslens.plans.run_etl import run_etl
 from accesslens.schema import BATCH_METADATA, MALFORMED_SUMMARY, QUERY_TABLES, TABLE_COLUMNS
 from accesslens.streaming import stream_file_batches
 from accesslens.tables import RunTables, export_run, export_tsv, jdbc_options
@@ -117,7 +118,7 @@ def test_repeating_a_run_replaces_it(spark, tables, logs):
 
 
 def test_a_failed_run_leaves_no_record(spark, tables, logs, monkeypatch):
-    monkeypatch.setitem(run_module.QUERIES, "query2", lambda *a, **k: 1 / 0)
+    monkeypatch.setitem(publishing.QUERIES, "query2", lambda *a, **k: 1 / 0)
     with pytest.raises(ZeroDivisionError):
         run_etl(spark, tables, str(logs), prefix="access_")
     assert tables.runs().count() == 0
@@ -243,3 +244,12 @@ def test_tsv_is_not_quoted(spark, tmp_path):
 def test_jdbc_options_take_the_callers():
     options = jdbc_options("jdbc:some:db", "t", user="u", batchsize="5")
     assert options["dbtable"] == "t" and options["user"] == "u" and options["batchsize"] == "5"
+
+
+def test_old_results_stay_until_the_text_is_parsed(spark, tables, logs, monkeypatch):
+    run_id = run_etl(spark, tables, str(logs), prefix="access_", run_id=3)
+    monkeypatch.setattr("accesslens.plans.run_etl.stage_parsed", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        run_etl(spark, tables, str(logs), prefix="access_", run_id=3)
+    assert tables.run(run_id)["total_records_processed"] == 2000
+    assert tables.read(QUERY_TABLES["query2"], run_id).count() == 60
