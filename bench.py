@@ -2,7 +2,7 @@
 
 BENCH_SF_DIR   tables to run on (default /root/testdata/sf0.1)
 BENCH_CPUS     local cores (default 8)
-BENCH_ROUNDS   timed repetitions per query, the best counts (default 3)
+BENCH_ROUNDS   timed repetitions per query, the best counts (default 2)
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from checks.queries import REGISTERED  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-ROUNDS = int(os.environ.get("BENCH_ROUNDS", "3"))
+ROUNDS = int(os.environ.get("BENCH_ROUNDS", "2"))
 
 QUERIES = (
     "parse_log_lines",
