@@ -8,8 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A broadcast table of this many narrow rows stays near 200 MB on each executor.
-BROADCAST_ROW_LIMIT = 1_000_000
+# What a broadcast may hold on each executor: a listing of a million files, say.
+BROADCAST_BYTES = 256 * 2**20
+FIELD_BYTES = 16
 
 # Partitions to shuffle into: text per partition, and how few and how many.
 SHUFFLE_BYTES = 256 * 2**20
@@ -96,15 +97,18 @@ def stage(frame: DataFrame, path: str, spark: SparkSession | None = None) -> Dat
     return (spark or frame.sparkSession).read.schema(frame.schema).parquet(path)
 
 
-def broadcast_if_small(frame: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Hint a broadcast only if the frame has at most `limit` rows.
+def broadcast_if_small(frame: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast only if the frame, measured now, takes at most `limit` bytes.
 
     Beyond the limit the frame comes back unhinted, and the join shuffles with
-    adaptive skew splitting. `frame` should be cheap to count: staged or local.
+    adaptive skew splitting. `frame` should be cheap to read: staged or local.
     """
-    if frame.limit(limit + 1).count() <= limit:
-        return F.broadcast(frame)
-    return frame
+    width = F.lit(FIELD_BYTES * len(frame.columns))
+    for name, kind in frame.dtypes:
+        if kind == "string":
+            width = width + F.coalesce(F.octet_length(name), F.lit(0))
+    size = frame.agg(F.coalesce(F.sum(width), F.lit(0)).alias("size")).first()["size"]
+    return F.broadcast(frame) if size <= limit else frame
 
 
 def hadoop_path(spark: SparkSession, path: str):

@@ -98,14 +98,6 @@ def test_offsets_do_not_shuffle_lines(spark, folder):
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
 
 
-def test_broadcast_only_below_the_row_limit(spark):
-    import accesslens.session as session
-
-    small = spark.range(10)
-    assert "broadcast" in session.broadcast_if_small(small, 10)._jdf.queryExecution().logical().toString().lower()
-    assert session.broadcast_if_small(small, 9) is small
-
-
 @pytest.mark.parametrize("size", [0, -1])
 def test_batch_size_must_be_positive(spark, size):
     with pytest.raises(ValueError, match="positive"):

@@ -3,6 +3,7 @@
 import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from accesslens.operators.run_history import result_diff
 from accesslens.plans import publishing
@@ -253,3 +254,16 @@ def test_old_results_stay_until_the_text_is_parsed(spark, tables, logs, monkeypa
         run_etl(spark, tables, str(logs), prefix="access_", run_id=3)
     assert tables.run(run_id)["total_records_processed"] == 2000
     assert tables.read(QUERY_TABLES["query2"], run_id).count() == 60
+
+
+def test_rows_lie_in_query_order(spark, tables, logs):
+    run_id = run_etl(spark, tables, str(logs), batch_strategy="record_count", batch_size=250, prefix="access_")
+    for query, key in {
+        "query1": lambda r: (r["batch_id"], r["log_date"], r["status_code"]),
+        "query2": lambda r: (r["batch_id"], -r["request_count"], r["resource_path"]),
+        "query3": lambda r: (r["batch_id"], r["log_date"], r["log_hour"]),
+    }.items():
+        stored = tables.stored(QUERY_TABLES[query]).where(F.col("run_id") == run_id)
+        placed = stored.select("*", "_metadata.file_path", "_metadata.row_index")
+        keys = [key(r) for r in placed.orderBy("file_path", "row_index").collect()]
+        assert keys and keys == sorted(keys)

@@ -4,7 +4,14 @@ from types import SimpleNamespace
 
 import pytest
 
-from accesslens.session import scan_bytes, scratch_path, shared_folder, shuffle_partitions, stage
+from accesslens.session import (
+    broadcast_if_small,
+    scan_bytes,
+    scratch_path,
+    shared_folder,
+    shuffle_partitions,
+    stage,
+)
 
 TB = 2**40
 
@@ -42,3 +49,11 @@ def test_staging_reads_back_only_what_is_asked(spark):
     scan = staged.select("twice").where("twice > 3")._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<twice:bigint>" in scan and "GreaterThan(twice,3)" in scan
     assert sorted(r["twice"] for r in staged.collect()) == list(range(0, 20, 2))
+
+
+def test_broadcasts_are_measured_first(spark):
+    small = spark.createDataFrame([(1, "12345678"), (2, None)], "n int, text string")
+    hinted = broadcast_if_small(small, 72)
+    assert "broadcast" in hinted._jdf.queryExecution().logical().toString().lower()
+    assert broadcast_if_small(small, 71) is small
+    assert broadcast_if_small(small.limit(0), 0) is not small
