@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from accesslens.functions import chronological, error_rate, is_error
 from accesslens.schema import RESULT_ORDER, TOP_RESOURCES
+from accesslens.session import fits_broadcast, stage
 
 BATCH = ("batch_id",)
 
@@ -54,12 +55,11 @@ def resource_totals(parsed: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def top_resources(parsed: DataFrame, limit: int = TOP_RESOURCES, by: Sequence[str] = ()) -> DataFrame:
-    """The most requested resources, by path where counts tie; per `by` group if given.
+def _most_requested(totals: DataFrame, limit: int, by: Sequence[str]) -> DataFrame:
+    """The first `limit` rows, of each `by` group if given.
 
     Either way each task keeps only its own best rows before anything is gathered.
     """
-    totals = resource_totals(parsed, by)
     order = ordered_by("query2")
     if not by:
         return totals.orderBy(*order).limit(limit)
@@ -67,6 +67,40 @@ def top_resources(parsed: DataFrame, limit: int = TOP_RESOURCES, by: Sequence[st
     return totals.withColumn("_place", place).where(F.col("_place") <= limit).drop("_place")
 
 
+def top_resources(parsed: DataFrame, limit: int = TOP_RESOURCES, by: Sequence[str] = ()) -> DataFrame:
+    """The most requested resources, by path where counts tie; per `by` group if given.
+
+    One pass over the lines, counting the hosts of every resource.
+    """
+    return _most_requested(resource_totals(parsed, by), limit, by)
+
+
+def top_resources_of_staged(
+    parsed: DataFrame, path: str, limit: int = TOP_RESOURCES, by: Sequence[str] = ()
+) -> DataFrame:
+    """`top_resources` for staged lines, which are cheap to read twice.
+
+    Counts alone decide who is in, and they shrink to a row per path in every task.
+    Only then are hosts counted, of those few paths (kept at `path`), so that the
+    large shuffle carries their hosts instead of every pair of path and host. With
+    too many groups for their paths to be broadcast, one pass does it all.
+    """
+    keys = [*by, "resource_path"]
+    counts = (
+        parsed.groupBy(*keys)
+        .agg(_requests().alias("request_count"), _bytes().alias("total_bytes"))
+        .where("request_count > 0")
+    )
+    top = stage(_most_requested(counts, limit, by), path)
+    if not fits_broadcast(top):
+        return top_resources(parsed, limit, by)
+    requests_to_top = parsed.select(*keys, "host").join(F.broadcast(top.select(*keys)), keys, "left_semi")
+    hosts = requests_to_top.groupBy(*keys).agg(F.count_distinct("host").alias("distinct_host_count"))
+    return hosts.join(F.broadcast(top), keys).select(
+        *keys, "request_count", "total_bytes", "distinct_host_count"
+    )
+
+
 def hourly_errors(parsed: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Errors, requests, error rate and distinct failing hosts per date and hour."""
     failed = is_error(F.col("status_code"))

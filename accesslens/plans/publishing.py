@@ -12,7 +12,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from accesslens.operators.aggregates import BATCH, QUERIES
+from accesslens.operators.aggregates import BATCH, QUERIES, top_resources_of_staged
 from accesslens.operators.batch_totals import (
     batch_metadata,
     malformed_samples,
@@ -94,13 +94,15 @@ def publish(
     batched: DataFrame,
     request: RunRequest,
     run_id: int,
+    work: str,
     load_id: int = 0,
     every_batch: DataFrame | None = None,
     runtime: Callable[[], float] | None = None,
 ) -> None:
     """Aggregate one load of batched, staged lines and publish it to the run tables.
 
-    `runtime` tells the seconds spent on the load; only a load of a single batch has one.
+    `work` is a folder for intermediate rows, `every_batch` names batches that may be
+    empty, and `runtime` tells the seconds spent on the load of a single batch.
     """
 
     spark = tables.spark
@@ -108,6 +110,8 @@ def publish(
     def load_query(name: str) -> None:
         if request.pipeline == "sql":
             rows = run_sql(name, batched)
+        elif name == "query2":
+            rows = top_resources_of_staged(batched, f"{work}/top", by=BATCH)
         else:
             rows = QUERIES[name](batched, by=BATCH)
         tables.load_query_results(name, rows, run_id, load_id)

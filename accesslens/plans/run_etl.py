@@ -52,7 +52,7 @@ def run_etl(
             batched = batch_by_file(parsed)
             every_batch = files.select(F.col("file_no").alias("batch_id"))
         tables.delete_run(run_id)
-        publish(tables, batched, request, run_id, every_batch=every_batch)
+        publish(tables, batched, request, run_id, work, every_batch=every_batch)
         record_run(tables, request, run_id, time.monotonic() - started)
     finally:
         delete_path(spark, work)

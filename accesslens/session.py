@@ -97,18 +97,23 @@ def stage(frame: DataFrame, path: str, spark: SparkSession | None = None) -> Dat
     return (spark or frame.sparkSession).read.schema(frame.schema).parquet(path)
 
 
-def broadcast_if_small(frame: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Hint a broadcast only if the frame, measured now, takes at most `limit` bytes.
-
-    Beyond the limit the frame comes back unhinted, and the join shuffles with
-    adaptive skew splitting. `frame` should be cheap to read: staged or local.
-    """
+def fits_broadcast(frame: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
+    """Whether a frame, measured now, takes at most `limit` bytes; it should be staged or local."""
     width = F.lit(FIELD_BYTES * len(frame.columns))
     for name, kind in frame.dtypes:
         if kind == "string":
             width = width + F.coalesce(F.octet_length(name), F.lit(0))
     size = frame.agg(F.coalesce(F.sum(width), F.lit(0)).alias("size")).first()["size"]
-    return F.broadcast(frame) if size <= limit else frame
+    return size <= limit
+
+
+def broadcast_if_small(frame: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast only if the frame fits.
+
+    Beyond the limit the frame comes back unhinted, and the join shuffles with
+    adaptive skew splitting.
+    """
+    return F.broadcast(frame) if fits_broadcast(frame, limit) else frame
 
 
 def hadoop_path(spark: SparkSession, path: str):

@@ -58,12 +58,13 @@ def stream_file_batches(
         # A micro-batch frame keeps the partitions of its scan, so ids are in line order.
         placed = lines.withColumn("scan_pos", F.monotonically_increasing_id())
         path = f"{work}/epoch-{epoch}"
-        parsed = stage_parsed(with_file_no(placed, files), request, spark, path)
+        parsed = stage_parsed(with_file_no(placed, files), request, spark, f"{path}/parsed")
         publish(
             tables,
             batch_by_file(parsed),
             request,
             run_id,
+            path,
             load_id=epoch + 1,
             runtime=(lambda: round(time.monotonic() - started, 3)) if together == 1 else None,
         )

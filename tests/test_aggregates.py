@@ -6,12 +6,14 @@ from collections import Counter, defaultdict
 
 import pytest
 
+from accesslens.operators import aggregates
 from accesslens.operators.aggregates import (
     BATCH,
     daily_traffic,
     hourly_errors,
     sorted_results,
     top_resources,
+    top_resources_of_staged,
 )
 from accesslens.operators.batch_totals import (
     batch_metadata,
@@ -22,6 +24,7 @@ from accesslens.operators.batch_totals import (
 from accesslens.operators.batching import batch_by_record_count
 from accesslens.operators.parsing import parse_log_lines
 from accesslens.plans.sql_variant import run_sql
+from accesslens.session import scratch_path
 
 SIZE = 400
 
@@ -102,6 +105,23 @@ def test_top_resources(batched, rows, per_batch, limit):
     assert {tuple(r) for r in top_resources(batched, limit, by(per_batch)).collect()} == want
 
 
+@pytest.mark.parametrize("fits", [True, False])
+@pytest.mark.parametrize("per_batch", [False, True])
+@pytest.mark.parametrize("limit", [1, 20, 100])
+def test_top_resources_in_two_passes(spark, batched, per_batch, limit, fits, monkeypatch):
+    monkeypatch.setattr(aggregates, "fits_broadcast", lambda frame: fits)
+    twice = top_resources_of_staged(batched, scratch_path(spark, "top"), limit, by(per_batch))
+    once = top_resources(batched, limit, by(per_batch))
+    assert twice.columns == once.columns
+    assert sorted(map(tuple, twice.collect())) == sorted(map(tuple, once.collect()))
+
+
+def test_two_passes_shuffle_hosts_of_few_paths(spark, batched):
+    text = plan(top_resources_of_staged(batched, scratch_path(spark, "top"), by=BATCH))
+    by_host = re.search(r"hashpartitioning\(batch_id#\d+, resource_path#\d+, host#\d+", text)
+    assert by_host.start() < text.index("LeftSemi")
+
+
 def test_batch_totals(batched, rows):
     wrong = Counter(n // SIZE + 1 for n, _, fields in rows if fields is None)
     sizes = Counter(n // SIZE + 1 for n, _, _ in rows)

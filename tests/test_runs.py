@@ -119,7 +119,7 @@ def test_repeating_a_run_replaces_it(spark, tables, logs):
 
 
 def test_a_failed_run_leaves_no_record(spark, tables, logs, monkeypatch):
-    monkeypatch.setitem(publishing.QUERIES, "query2", lambda *a, **k: 1 / 0)
+    monkeypatch.setitem(publishing.QUERIES, "query3", lambda *a, **k: 1 / 0)
     with pytest.raises(ZeroDivisionError):
         run_etl(spark, tables, str(logs), prefix="access_")
     assert tables.runs().count() == 0
