@@ -96,3 +96,30 @@ SELECT doc_id, text, lang, source, n_chars, n_copies::INTEGER AS n_copies, r.cop
     ('0x' || substr(md5('17|' || coalesce(doc_id::VARCHAR, '') || '|' || r.copy), 1, 13))::BIGINT AS shuffle_key
 FROM counted, unnest(range(1, n_copies + 1)) AS r(copy)
 """
+
+CHAT = r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL
+    VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')
+), formatted AS (
+    SELECT *, CASE role WHEN 'user' THEN '[INST]  [/INST]' WHEN 'system' THEN '[SYS]  [/SYS]'
+            WHEN 'assistant' THEN '[ANS]  </s>'
+            ELSE '[ROLE:' || replace(replace(role, '%', '%25'), ']', '%5D') || ']  [/ROLE]' END
+        || regexp_replace(text, '([<\[])(\\*/?(?:s>|INST\]|SYS\]|ANS\]|ROLE[:\]]))', '\1\\\2', 'g') AS shown
+    FROM turns
+), chats AS (
+    SELECT conv_id, count(*) AS n_turns,
+        string_agg(role, '|' ORDER BY turn NULLS FIRST, role, text) AS roles,
+        string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS said,
+        coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')
+            AS learned,
+        (3 + sum(length(shown)))::BIGINT AS formatted_chars
+    FROM formatted GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(learned) AS loss_chars,
+    sha256(learned) AS loss_sha256, formatted_chars,
+    CASE roles WHEN 'user|assistant' THEN 'prompt_response'
+        WHEN 'system|user|assistant' THEN 'system_prompt_response' ELSE 'messages' END AS layout
+FROM chats
+"""
