@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from accesslens.llm.chat import canonical_turns, format_chat, gather_records, learned_text, read_turns
 from accesslens.llm.line_dedup import dedup_lines
 from accesslens.llm.mixing import mix_sources
+from accesslens.llm.packing import pack_sequences
 from accesslens.llm.quality import line_first_clean
+from accesslens.llm.simhash import simhash_groups
 from accesslens.llm.sql import CHAT, LINE_DEDUP, MIX, QUALITY
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +67,19 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select("doc_id", "n_lines", "n_dropped", sha256("kept_text").alias("kept_sha256"))
 
 
+@register()
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(table(spark, sf_dir, "documents"))
+
+
+@register()
+def op6_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    placed, _ = pack_sequences(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return placed.drop("_part", "_rank")
+
+
 @register(QUALITY)
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = line_first_clean(table(spark, sf_dir, "documents"))
