@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from accesslens.llm.text import WORD, filled, whole_rows, with_outputs, words
+from accesslens.llm.text import WORD, filled, held, whole_rows, with_outputs, words
 
 SYMBOLS = "[#*$%&|<>]"
 SEPARATOR = r"^[|>/\-]$"
@@ -109,18 +109,18 @@ def line_first_clean(docs: DataFrame, text: str = "text", max_lost: float = MOST
     )
     frame = frame.select(
         "_row",
-        F.size(parts).cast("bigint").alias("n_words"),
+        held(F.size(parts).cast("bigint")).alias("n_words"),
         _word_chars(parts).cast("bigint").alias("word_chars"),
         F.regexp_count("_text", F.lit(SYMBOLS)).cast("bigint").alias("n_symbols"),
         (F.size("_worded") - F.size(F.array_distinct("_worded"))).cast("bigint").alias("n_dup_lines"),
         _repeat_words(windows).alias("n_repeat_words"),
         F.size(lines).cast("bigint").alias("n_lines"),
         (F.size(lines) - F.size("_kept")).cast("bigint").alias("n_lines_removed"),
+        (_word_chars(parts) - _word_chars(words(F.array_join("_kept", "\n")))).cast("bigint").alias("lost_chars"),
         F.array_join("_kept", "\n").alias("cleaned_text"),
     )
-    lost = F.col("word_chars") - _word_chars(words(F.col("cleaned_text"))).cast("bigint")
     failed = (F.col("n_words") < FEWEST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
-    frame = frame.withColumns({"lost_chars": lost, "base_failed": failed})
+    frame = frame.withColumn("base_failed", failed)
     kept = ~F.col("base_failed") & (F.col("lost_chars") <= max_lost * F.col("word_chars"))
     added = [name for name in frame.columns if name != "_row"]
     return with_outputs(frame, docs.columns, {**{name: F.col(name) for name in added}, "kept": kept})

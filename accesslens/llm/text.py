@@ -28,6 +28,14 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def held(column: Column) -> Column:
+    """The same column, kept out of filters: a filter on it runs after it is computed.
+
+    Pushed below, a filter would repeat the expressions it needs, nested ones many times over.
+    """
+    return F.when(F.spark_partition_id() >= 0, column)
+
+
 def whole_rows(frame: DataFrame) -> DataFrame:
     """One column `_row` with the whole input row, so that no input column can clash."""
     return frame.select(F.struct("*").alias("_row"))
