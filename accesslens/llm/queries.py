@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from accesslens.llm.chat import canonical_turns, format_chat, gather_records, learned_text, read_turns
+from accesslens.llm.katz import katz_scores
 from accesslens.llm.language import identify, learn_profiles
 from accesslens.llm.line_dedup import dedup_lines
 from accesslens.llm.mixing import mix_sources
@@ -99,6 +100,14 @@ def op7_phrase_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_with_next(table(spark, sf_dir, "documents"))
 
 
+@register()
+def op8_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = katz_scores(table(spark, sf_dir, "documents"), fold(5) != 1)
+    return scores.select(
+        "doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 @register(QUALITY)
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = line_first_clean(table(spark, sf_dir, "documents"))
