@@ -16,6 +16,7 @@ from accesslens.llm.packing import pack_sequences
 from accesslens.llm.phrases import compare_with_next
 from accesslens.llm.quality import line_first_clean
 from accesslens.llm.simhash import simhash_groups
+from accesslens.llm.suffix_dedup import remove_repeats
 from accesslens.llm.sql import CHAT, LINE_DEDUP, MIX, QUALITY
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,6 +83,19 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select("doc_id", "n_lines", "n_dropped", sha256("kept_text").alias("kept_sha256"))
 
 
+@register()
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = remove_repeats(table(spark, sf_dir, "documents"))
+    width = F.aggregate("spans", F.lit(0).cast("bigint"), lambda total, span: total + span["end"] - span["start"])
+    return removed.select(
+        "doc_id",
+        "n_bytes",
+        width.alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @register()
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
