@@ -45,4 +45,8 @@ def with_outputs(frame: DataFrame, columns: list[str], outputs: dict[str, Column
     """The input columns out of `_row`, then the outputs; an output replaces an input of its name."""
     named = {name.lower() for name in outputs}
     kept = [F.col("_row")[name].alias(name) for name in columns if name.lower() not in named]
-    return frame.select(*kept, *(column.alias(name) for name, column in outputs.items()))
+    if not outputs:
+        return frame.select(*kept)
+    # A step of its own: an output may not see an input column that is named like one it reads.
+    frame = frame.select("_row", F.struct(*(column.alias(name) for name, column in outputs.items())).alias("_out"))
+    return frame.select(*kept, *(F.col("_out")[name].alias(name) for name in outputs))
