@@ -451,7 +451,7 @@ def _unigrams(table: DataFrame, tokens: int, distinct: int, discounts: Discounts
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = [float(discounts.mass(unpack(one.as_py()).astype(np.int64)).sum()) for batch in batches for one in batch.column(0)]
-        yield pa.RecordBatch.from_arrays([pa.array([sum(sums)])], names=["kept"])
+        yield pa.RecordBatch.from_arrays([pa.array([sum(sums)], pa.float64())], names=["kept"])
 
     total = table.select("counts").mapInArrow(kept, "kept double").agg(F.coalesce(F.sum("kept"), F.lit(0.0))).first()[0]
     return Unigrams(tokens, distinct, discounts, total)
