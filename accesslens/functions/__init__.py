@@ -6,7 +6,7 @@ from accesslens.functions.log_fields import (
     error_rate,
     group_of,
     is_error,
-    is_log_line,
+    once_per_row,
     split_groups,
     trim_control,
 )
@@ -19,7 +19,7 @@ __all__ = [
     "error_rate",
     "group_of",
     "is_error",
-    "is_log_line",
+    "once_per_row",
     "split_groups",
     "trim_control",
 ]

@@ -35,17 +35,23 @@ def trim_control(text: Column) -> Column:
     return F.btrim(text, F.lit(_CONTROL))
 
 
-def is_log_line(line: Column) -> Column:
-    return line.rlike(LOG_PATTERN)
+def once_per_row(column: Column) -> Column:
+    """The same column, but a filter on it, or on what is made of it, runs after it.
+
+    Spark does not move a filter below an expression that depends on the partition.
+    """
+    return F.when(F.spark_partition_id() >= 0, column)
 
 
 def split_groups(line: Column) -> Column:
     """Split a line into its groups after an empty first element, in one regex pass.
 
     Eight separate extractions would run the pattern eight times. Put the result in
-    a projection of its own before `group_of`, so that it is computed once.
+    a projection of its own before `group_of`, so that it is computed once. A line
+    that begins with the mark itself cannot match, and is NULL here.
     """
-    return F.split(F.regexp_replace(line, LOG_PATTERN, _GROUPS_ON_LINES), _MARK)
+    plain = F.when(~line.startswith(_MARK), line)
+    return F.split(F.regexp_replace(plain, LOG_PATTERN, _GROUPS_ON_LINES), _MARK)
 
 
 def group_of(parts: Column, name: str) -> Column:

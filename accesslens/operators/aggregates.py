@@ -2,9 +2,8 @@
 
 Each takes parsed lines in which a malformed line has NULL fields. Such lines
 fall into one all-NULL group that the partial aggregation shrinks to a row per
-task; `count(host)` is 0 there, and the filter on that count drops it. Filtering
-before the aggregate instead would run the line pattern a second time, because
-Spark pushes the filter below the projection that cut the fields.
+task; `count(host)` is 0 there, and the filter on that count drops it: no filter has
+to run for every line.
 
 `by` adds group columns (`batch_id`). Distinct hosts are counted exactly: Spark
 first shuffles on the keys *and* the host, so a hot path or hour is spread over
@@ -20,7 +19,7 @@ from pyspark.sql import functions as F
 
 from accesslens.functions import chronological, error_rate, is_error
 from accesslens.schema import RESULT_ORDER, TOP_RESOURCES
-from accesslens.session import fits_broadcast, stage
+from accesslens.session import broadcast_if_small, stage
 
 BATCH = ("batch_id",)
 
@@ -42,19 +41,6 @@ def daily_traffic(parsed: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def resource_totals(parsed: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Requests, bytes and distinct hosts of every resource."""
-    return (
-        parsed.groupBy(*by, "resource_path")
-        .agg(
-            _requests().alias("request_count"),
-            _bytes().alias("total_bytes"),
-            F.count_distinct("host").alias("distinct_host_count"),
-        )
-        .where("request_count > 0")
-    )
-
-
 def _most_requested(totals: DataFrame, limit: int, by: Sequence[str]) -> DataFrame:
     """The first `limit` rows, of each `by` group if given.
 
@@ -67,23 +53,17 @@ def _most_requested(totals: DataFrame, limit: int, by: Sequence[str]) -> DataFra
     return totals.withColumn("_place", place).where(F.col("_place") <= limit).drop("_place")
 
 
-def top_resources(parsed: DataFrame, limit: int = TOP_RESOURCES, by: Sequence[str] = ()) -> DataFrame:
-    """The most requested resources, by path where counts tie; per `by` group if given.
-
-    One pass over the lines, counting the hosts of every resource.
-    """
-    return _most_requested(resource_totals(parsed, by), limit, by)
-
-
-def top_resources_of_staged(
-    parsed: DataFrame, path: str, limit: int = TOP_RESOURCES, by: Sequence[str] = ()
+def top_resources(
+    parsed: DataFrame, limit: int = TOP_RESOURCES, by: Sequence[str] = (), path: str | None = None
 ) -> DataFrame:
-    """`top_resources` for staged lines, which are cheap to read twice.
+    """The most requested resources, by path where counts tie; per `by` group if given.
 
     Counts alone decide who is in, and they shrink to a row per path in every task.
-    Only then are hosts counted, of those few paths (kept at `path`), so that the
-    large shuffle carries their hosts instead of every pair of path and host. With
-    too many groups for their paths to be broadcast, one pass does it all.
+    Only then are hosts counted, of those few paths, so that the large shuffle carries
+    their hosts instead of every pair of path and host. The lines are read twice: stage
+    them if they are costly to make. With a `path` the top counts are kept there and
+    joined by a size-checked broadcast, as runs do; without, or beyond its size, Spark plans
+    the join, which may shuffle path and host of all lines.
     """
     keys = [*by, "resource_path"]
     counts = (
@@ -91,13 +71,13 @@ def top_resources_of_staged(
         .agg(_requests().alias("request_count"), _bytes().alias("total_bytes"))
         .where("request_count > 0")
     )
-    top = stage(_most_requested(counts, limit, by), path)
-    if not fits_broadcast(top):
-        return top_resources(parsed, limit, by)
-    requests_to_top = parsed.select(*keys, "host").join(F.broadcast(top.select(*keys)), keys, "left_semi")
-    hosts = requests_to_top.groupBy(*keys).agg(F.count_distinct("host").alias("distinct_host_count"))
-    return hosts.join(F.broadcast(top), keys).select(
-        *keys, "request_count", "total_bytes", "distinct_host_count"
+    top = _most_requested(counts, limit, by)
+    if path:
+        top = broadcast_if_small(stage(top, path))
+    # The counts go along as grouping columns, so that `top` is worked out once.
+    requests_to_top = parsed.select(*keys, "host").join(top, keys)
+    return requests_to_top.groupBy(*keys, "request_count", "total_bytes").agg(
+        F.count_distinct("host").alias("distinct_host_count")
     )
 
 

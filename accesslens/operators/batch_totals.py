@@ -69,5 +69,5 @@ def run_totals(metadata: DataFrame) -> DataFrame:
         F.count(F.lit(1)).cast("int").alias("total_batches"),
     ).withColumn(
         "average_batch_size",
-        F.when(batches > 0, exact).otherwise(F.lit(0)).cast("decimal(12,2)"),
+        F.when(batches > 0, exact).otherwise(F.lit(0)).cast("decimal(20,2)"),
     )

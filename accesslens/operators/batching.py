@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from accesslens.session import broadcast_if_small, scratch_path, stage
+from accesslens.session import broadcast_if_small, stage
 
 SPLIT = ("file_no", "block_start")
 
@@ -13,16 +13,22 @@ SPLIT = ("file_no", "block_start")
 def split_offsets(located: DataFrame) -> DataFrame:
     """What to add to `scan_pos` in each split to get the line number from 0.
 
-    The lines are counted per split on all executors. The prefix sum then runs over
-    one narrow row per split in a single task: 200,000 rows, some 5 MB, for 100 TB in
-    splits of 512 MB, and four times that at 128 MB.
+    The lines are counted per split on all executors. Splits are summed up within
+    their file, side by side for all files; only the sums of files, a row per file of
+    the listing, go through one task.
     """
     sizes = located.groupBy(*SPLIT).agg(
         F.count(F.lit(1)).alias("lines"), F.min("scan_pos").alias("first_pos")
     )
-    up_to_here = Window.orderBy(*SPLIT).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = F.sum("lines").over(up_to_here) - F.col("lines")
-    return sizes.select(*SPLIT, (before - F.col("first_pos")).alias("shift"))
+    files = sizes.groupBy("file_no").agg(F.sum("lines").alias("_file_lines"))
+    files = files.select("file_no", _sum_before("_file_lines", Window.orderBy("file_no")).alias("_file_start"))
+    within = _sum_before("lines", Window.partitionBy("file_no").orderBy("block_start"))
+    starts = sizes.withColumn("_start", within).join(files, "file_no")
+    return starts.select(*SPLIT, (F.col("_file_start") + F.col("_start") - F.col("first_pos")).alias("shift"))
+
+
+def _sum_before(column: str, window) -> Column:
+    return F.coalesce(F.sum(column).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
 
 def number_lines(located: DataFrame, path: str | None = None) -> DataFrame:
@@ -30,12 +36,13 @@ def number_lines(located: DataFrame, path: str | None = None) -> DataFrame:
 
     `located` has file_no, block_start and scan_pos, and must be staged: the
     positions of two separate scans need not agree. Only the offsets, one row per
-    split, are shuffled (and kept at `path`); the lines take them in by a
-    size-checked broadcast.
+    split, are shuffled. With a `path` they are kept there, and the lines take them in
+    by a size-checked broadcast; without one the join is planned as it runs.
     """
-    path = path or scratch_path(located.sparkSession, "split-offsets")
-    shifts = stage(split_offsets(located), path)
-    numbered = located.join(broadcast_if_small(shifts), list(SPLIT))
+    shifts = split_offsets(located)
+    if path:
+        shifts = broadcast_if_small(stage(shifts, path))
+    numbered = located.join(shifts, list(SPLIT))
     return numbered.withColumn("line_no", F.col("scan_pos") + F.col("shift")).drop("shift")
 
 

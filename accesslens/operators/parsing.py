@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from accesslens.functions import cast_status, clean_bytes, group_of, is_log_line, split_groups
+from accesslens.functions import cast_status, clean_bytes, group_of, once_per_row, split_groups
 
 PARSED_COLUMNS = (
     "host",
@@ -24,9 +24,10 @@ PARSED_COLUMNS = (
 def parse_log_lines(lines: DataFrame, line: str = "line") -> DataFrame:
     """Add the fields of each line; on a malformed line they are all NULL.
 
-    Every input column stays. `is_valid` is an expression of its own: a query that
-    filters on it matches the line once without cutting it up, and one that does
-    not pays nothing for it.
+    Every input column stays. A line is valid if it has a host: both come from the same
+    cut, which runs once per line. A filter on any field stays above it; pushed below,
+    it would repeat the pattern for every field it names. A line that begins with a
+    newline is malformed, as is NULL.
     """
     kept = [c for c in lines.columns if c not in PARSED_COLUMNS]
     parts = F.col("_parts")
@@ -37,8 +38,7 @@ def parse_log_lines(lines: DataFrame, line: str = "line") -> DataFrame:
     protocol = group("protocol_version")
     cut = lines.select(
         *kept,
-        is_log_line(F.col(line)).alias("is_valid"),
-        split_groups(F.col(line)).alias("_parts"),
+        once_per_row(split_groups(F.col(line))).alias("_parts"),
     )
     return cut.select(
         *kept,
@@ -51,7 +51,7 @@ def parse_log_lines(lines: DataFrame, line: str = "line") -> DataFrame:
         cast_status(group("status_code")).alias("status_code"),
         group("bytes_raw").alias("bytes_raw"),
         clean_bytes(group("bytes_raw")).alias("bytes_transferred"),
-        "is_valid",
+        group("host").isNotNull().alias("is_valid"),
     )
 
 

@@ -11,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Rows of a side-by-side comparison, in order, and the run column behind each.
 COMPARED = {
@@ -71,44 +72,56 @@ def runs_by_ids(runs: DataFrame, run_ids: Sequence[int]) -> DataFrame:
     )
 
 
+def collected(chosen: DataFrame) -> DataFrame:
+    """The chosen runs, evaluated once: they are those a person asked to compare, and few."""
+    rows = chosen.collect()
+    return chosen.sparkSession.createDataFrame(rows, chosen.schema)
+
+
 def runtime_ranking(chosen: DataFrame, within: Sequence[str] = ()) -> DataFrame:
     """Chosen runs from fastest to slowest, by run id where runtimes tie.
 
     `within` ranks separately per value. The input is the handful of runs being
     compared, not the history.
     """
-    order = Window.partitionBy(*within) if within else Window.partitionBy(F.lit(0))
-    place = F.row_number().over(order.orderBy("runtime_seconds", "run_id"))
+    place = F.row_number().over(Window.partitionBy(*within).orderBy("runtime_seconds", "run_id"))
     return chosen.select(place.alias("rank"), *within, "pipeline_name", "run_id", "runtime_seconds")
 
 
 def compare_runs(chosen: DataFrame) -> DataFrame:
     """One row per (run, measure); needs at least two runs.
 
-    Runs are numbered by `position` if the frame has it, else by pipeline name.
+    The chosen runs are evaluated once, here, and come to the driver. They are numbered by `position` if the frame has it, else by pipeline name.
     """
-    found = chosen.limit(2).count()
-    if found < 2:
-        raise ValueError(f"need at least 2 runs to compare, found {found}")
-    if "position" not in chosen.columns:
-        # The chosen runs are one per pipeline.
-        nth = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("pipeline_name", "run_id"))
-        chosen = chosen.withColumn("position", nth)
-    values = [F.col(column).cast("double").alias(label) for label, column in COMPARED.items()]
-    return chosen.select("position", "pipeline_name", *values).unpivot(
-        ["position", "pipeline_name"], list(COMPARED), "measure", "value"
+    runs = chosen.collect()
+    if len(runs) < 2:
+        raise ValueError(f"need at least 2 runs to compare, found {len(runs)}")
+    if "position" in chosen.columns:
+        placed = [(run["position"], run) for run in runs]
+    else:
+        placed = enumerate(sorted(runs, key=lambda run: (run["pipeline_name"], run["run_id"])), start=1)
+    rows = [
+        (position, run["pipeline_name"], label, None if run[column] is None else float(run[column]))
+        for position, run in placed
+        for label, column in COMPARED.items()
+    ]
+    return chosen.sparkSession.createDataFrame(
+        rows, "position int, pipeline_name string, measure string, value double"
     )
 
 
 def side_by_side(compared: DataFrame) -> DataFrame:
     """`compare_runs` with one column per run, named by pipeline; repeats get their position."""
-    heads = compared.select("position", "pipeline_name").distinct().orderBy("position").collect()
-    names = [h["pipeline_name"] for h in heads]
-    labels = {
-        h["position"]: n if names.count(n) == 1 else f"{n}_{h['position']}" for h, n in zip(heads, names)
-    }
-    wide = compared.groupBy("measure").pivot("position", list(labels)).agg(F.first("value"))
-    return wide.select("measure", *[F.col(f"`{p}`").alias(label) for p, label in labels.items()])
+    rows = compared.collect()
+    names = {row["position"]: row["pipeline_name"] for row in sorted(rows, key=lambda row: row["position"])}
+    named = list(names.values())
+    labels = [name if named.count(name) == 1 else f"{name}_{place}" for place, name in names.items()]
+    values = {(row["measure"], row["position"]): row["value"] for row in rows}
+    wide = [(measure, *(values[measure, place] for place in names)) for measure in COMPARED]
+    kinds = T.StructType(
+        [T.StructField("measure", T.StringType()), *(T.StructField(label, T.DoubleType()) for label in labels)]
+    )
+    return compared.sparkSession.createDataFrame(wide, kinds)
 
 
 def result_counts(results: Mapping[str, DataFrame]) -> DataFrame:
@@ -123,10 +136,13 @@ def result_counts(results: Mapping[str, DataFrame]) -> DataFrame:
 def result_consistency(chosen: DataFrame, results: Mapping[str, DataFrame]) -> DataFrame:
     """Per query, how many rows each chosen run stored and whether all stored the same number.
 
-    A run without rows counts 0. `same_query` is false where the runs did not run
+    Only rows of the chosen runs are counted; their ids come to the driver to select
+    them. A run without rows counts 0. `same_query` is false where the runs did not run
     the same queries, so that counts may differ for that reason alone.
     """
-    runs = chosen.select("run_id", "pipeline_name", F.col("query_name").alias("_ran"))
+    runs = collected(chosen.select("run_id", "pipeline_name", F.col("query_name").alias("_ran")))
+    ids = [run["run_id"] for run in runs.collect()]
+    results = {query: rows.where(F.col("run_id").isin(ids)) for query, rows in results.items()}
     # A row per query and chosen run: the query names are the fixed three.
     wanted = runs.select("*", F.explode(F.array(*map(F.lit, results))).alias("query_name"))
     rows = wanted.join(result_counts(results), ["query_name", "run_id"], "left").withColumn(

@@ -12,7 +12,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from accesslens.operators.aggregates import BATCH, QUERIES, top_resources_of_staged
+from accesslens.operators.aggregates import BATCH, QUERIES, top_resources
 from accesslens.operators.batch_totals import (
     batch_metadata,
     malformed_samples,
@@ -26,9 +26,11 @@ from accesslens.schema import (
     BATCH_METADATA,
     BATCH_STRATEGIES,
     FILE_BASED,
+    MALFORMED_SUMMARY,
     PIPELINES,
     QUERY_NAMES,
     RECORD_COUNT,
+    SAMPLE_LINES,
 )
 from accesslens.session import stage
 from accesslens.tables.run_tables import RunTables
@@ -98,42 +100,45 @@ def publish(
     load_id: int = 0,
     every_batch: DataFrame | None = None,
     runtime: Callable[[], float] | None = None,
+    before: Callable[[], None] | None = None,
+    sample_lines: int = SAMPLE_LINES,
 ) -> None:
     """Aggregate one load of batched, staged lines and publish it to the run tables.
 
-    `work` is a folder for intermediate rows, `every_batch` names batches that may be
-    empty, and `runtime` tells the seconds spent on the load of a single batch.
+    All rows are worked out below the folder `work` first; only then does `before` run
+    (it may clear what the run stored earlier) and are they loaded, so a query that fails
+    costs no old result. `every_batch` names batches that may be empty, and `runtime`
+    tells the seconds that the load took, stored with each of its batches.
     """
-
     spark = tables.spark
+    rows: dict[str, DataFrame] = {}
 
-    def load_query(name: str) -> None:
+    def work_out(name: str) -> None:
         if request.pipeline == "sql":
-            rows = run_sql(name, batched)
+            result = run_sql(name, batched, f"{work}/top")
         elif name == "query2":
-            rows = top_resources_of_staged(batched, f"{work}/top", by=BATCH)
+            result = top_resources(batched, by=BATCH, path=f"{work}/top")
         else:
-            rows = QUERIES[name](batched, by=BATCH)
-        tables.load_query_results(name, rows, run_id, load_id)
-
-    def load_counts() -> None:
-        metadata = batch_metadata(batched, every_batch)
-        if runtime is not None:
-            metadata = metadata.withColumn("batch_runtime_seconds", F.lit(runtime()))
-        tables.load_batches(metadata, run_id, load_id)
+            result = QUERIES[name](batched, by=BATCH)
+        rows[name] = stage(result, f"{work}/{name}", spark)
 
-    def load_samples() -> None:
+    def work_out_batches() -> None:
+        metadata = stage(batch_metadata(batched, every_batch), f"{work}/batches", spark)
         position = [c for c in POSITION if c in batched.columns]
-        summary = malformed_summary(batch_metadata(batched, every_batch), malformed_samples(batched, position))
-        tables.load_malformed(summary, run_id, load_id)
-
-    steps = [*[partial(load_query, name) for name in request.queries], load_samples]
-    if runtime is None:
-        _at_once(spark, *steps, load_counts)
-    else:
-        # A batch's runtime covers its queries, so it can only be stored after them.
-        _at_once(spark, *steps)
-        load_counts()
+        samples = malformed_samples(batched, position, sample_lines)
+        rows[MALFORMED_SUMMARY] = stage(malformed_summary(metadata, samples), f"{work}/malformed", spark)
+        rows[BATCH_METADATA] = metadata
+
+    _at_once(spark, *[partial(work_out, name) for name in request.queries], work_out_batches)
+    if before is not None:
+        before()
+    loads = [partial(tables.load_query_results, name, rows[name], run_id, load_id) for name in request.queries]
+    _at_once(spark, *loads, partial(tables.load_malformed, rows[MALFORMED_SUMMARY], run_id, load_id))
+    metadata = rows[BATCH_METADATA]
+    if runtime is not None:
+        # It covers the queries, so it can only be stored after them.
+        metadata = metadata.withColumn("batch_runtime_seconds", F.lit(runtime()))
+    tables.load_batches(metadata, run_id, load_id)
 
 
 def _at_once(spark: SparkSession, *steps: Callable[[], None]) -> None:

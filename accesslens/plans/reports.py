@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from accesslens.operators.aggregates import ordered_by
 from accesslens.operators.run_history import (
+    collected,
     compare_runs,
     latest_run,
     latest_run_per_pipeline,
@@ -85,14 +86,15 @@ def comparison(
     if batch_strategy:
         runs = latest_run_per_pipeline(tables.runs(), batch_strategy)
     elif run_ids:
-        asked = runs_by_ids(tables.runs(), run_ids)
+        asked = collected(runs_by_ids(tables.runs(), run_ids))
         missing = [r["run_id"] for r in asked.where("NOT found").collect()]
         runs = asked.where("found").drop("found")
     else:
         raise ValueError("name a batch strategy or run ids to compare")
+    # A person reads the comparison, so the runs are few; all that follows is made from this one evaluation.
+    runs = collected(runs)
     measures = side_by_side(compare_runs(runs))
-    # A person reads the comparison, so the ids are few; they prune the result partitions.
-    compared = [r["run_id"] for r in runs.select("run_id").distinct().collect()]
+    compared = sorted({run["run_id"] for run in runs.collect()})
     return Comparison(
         runs,
         measures,

@@ -36,6 +36,8 @@ RECORD_COUNT = "record_count"
 FILE_BASED = "file_based"
 BATCH_STRATEGIES = (RECORD_COUNT, FILE_BASED)
 
+# Names of the result columns stand with their types in TABLE_COLUMNS below; the order of rows in RESULT_ORDER.
+
 # Rows a report shows per query, in the order of QUERY_NAMES.
 PAGE_ROWS = {"query1": 50, "query2": 20, "query3": 50}
 
@@ -73,7 +75,7 @@ TABLE_COLUMNS: dict[str, T.StructType] = {
         ("total_records_processed", _LONG),
         ("total_malformed_records", _LONG),
         ("total_batches", _INT),
-        ("average_batch_size", T.DecimalType(12, 2)),
+        ("average_batch_size", T.DecimalType(20, 2)),
         ("runtime_seconds", T.DecimalType(10, 3)),
         ("execution_timestamp", T.TimestampType()),
     ),

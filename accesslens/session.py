@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
+import threading
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,15 +17,17 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES = 256 * 2**20
 FIELD_BYTES = 16
 
-# Partitions to shuffle into: text per partition, and how few and how many.
+# Partitions to shuffle into: text per partition, and how few.
 SHUFFLE_BYTES = 256 * 2**20
 FEWEST_SHUFFLES = 200
-MOST_SHUFFLES = 100_000
 
 # Splits to scan in: the usual size, grown so that even 100 TB make only so many tasks.
 SCAN_BYTES = 128 * 2**20
 MOST_SCANS = 200_000
 
+# The largest top count that is cut in every task before the shuffle.
+EARLY_LIMIT = 1_000_000
+
 _local_folders: dict[str, str] = {}
 
 
@@ -30,7 +37,7 @@ def shuffle_partitions(input_bytes: int) -> int:
     About one per 256 MB of text. Merging can only lower the number, so it has to
     start high enough for a partition to fit in a task's memory.
     """
-    return min(max(input_bytes // SHUFFLE_BYTES, FEWEST_SHUFFLES), MOST_SHUFFLES)
+    return max(input_bytes // SHUFFLE_BYTES, FEWEST_SHUFFLES)
 
 
 def scan_bytes(input_bytes: int) -> int:
@@ -57,6 +64,8 @@ def build_session(
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # Tasks keep only their own best rows for any top count up to this.
+        .config("spark.sql.optimizer.windowGroupLimitThreshold", str(EARLY_LIMIT))
     )
     if master:
         builder = builder.master(master)
@@ -74,11 +83,13 @@ def shared_folder(spark: SparkSession) -> str:
     if named:
         return named.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    # A local cluster has executors of their own, as any other has.
+    if not re.match(r"local(\[|$)", context.master):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     app = context.applicationId
     if app not in _local_folders:
         _local_folders[app] = tempfile.mkdtemp(prefix="accesslens-")
+        atexit.register(shutil.rmtree, _local_folders[app], ignore_errors=True)
     return _local_folders[app]
 
 
@@ -138,3 +149,27 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     """Remove a folder this library wrote; False if it was not there."""
     fs, target = hadoop_path(spark, path)
     return fs.delete(target, True)
+
+
+_creating = threading.Lock()
+
+
+def create_file(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; False if it was there already, whoever created it."""
+    fs, target = hadoop_path(spark, path)
+    with _creating:
+        if fs.exists(target):
+            return False
+        try:
+            fs.create(target, False).close()
+        except Py4JJavaError as failed:
+            if fs.exists(target):
+                return False
+            raise OSError(f"cannot create {path}") from failed
+        return True
+
+
+def file_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the files in a folder; none if there is no such folder."""
+    fs, target = hadoop_path(spark, folder)
+    return [status.getPath().getName() for status in fs.listStatus(target)] if fs.exists(target) else []

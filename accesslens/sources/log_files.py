@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
@@ -27,18 +28,30 @@ def open_text(reader, folder: str, prefix: str) -> DataFrame:
     return reader.option("pathGlobFilter", f"{_literal_glob(prefix)}*").text(folder)
 
 
-def list_log_files(spark: SparkSession, folder: str, prefix: str = "") -> DataFrame:
-    """(file_no, path) of the plain files in `folder` whose name starts with `prefix`.
-
-    Numbers run from 1 in path order. `folder` may be a glob. Sub-folders are not
-    entered, unless their names are partitions (`day=...`) to Spark. Empty files are
-    listed although a scan skips them. The listing is Spark's own file index, so it
-    names exactly the files a scan will read.
-    """
+def open_logs(spark: SparkSession, folder: str, prefix: str = "") -> DataFrame:
+    """Raw lines of a folder whose files are listed now; later files do not belong to the frame."""
     try:
-        paths = sorted(open_text(spark.read, folder, prefix).inputFiles())
+        return open_text(spark.read, folder, prefix)
     except AnalysisException as missing:
         raise FileNotFoundError(f"no such log folder: {folder}") from missing
+
+
+def list_log_files(
+    spark: SparkSession, folder: str, prefix: str = "", text: DataFrame | None = None
+) -> DataFrame:
+    """(file_no, path) of the plain files in `folder` whose name starts with `prefix`.
+
+    Numbers run from 1 in the order of the paths as they are, not as a URI spells
+    them. `folder` may be a glob. Sub-folders are not entered, unless their names are
+    partitions (`day=...`) to Spark. Empty files are listed although a scan skips them.
+
+    The listing is the file index of `text`, a frame of `open_logs`. Scan that same
+    frame, and the two cannot disagree, whatever arrives in between. Without it the
+    folder is listed anew. A row per file passes the driver, which holds the file
+    index of any Spark scan anyway.
+    """
+    text = open_logs(spark, folder, prefix) if text is None else text
+    paths = sorted(text.inputFiles(), key=lambda path: (unquote(path), path))
     if not paths:
         if prefix and spark.read.text(folder).inputFiles():
             raise FileNotFoundError(f"no file named {prefix}* in log folder: {folder}")
@@ -46,14 +59,17 @@ def list_log_files(spark: SparkSession, folder: str, prefix: str = "") -> DataFr
     return spark.createDataFrame(pa.table([range(1, len(paths) + 1), paths], schema=_LISTING))
 
 
-def scan_log_text(spark: SparkSession, folder: str, prefix: str = "") -> DataFrame:
+def scan_log_text(
+    spark: SparkSession, folder: str, prefix: str = "", text: DataFrame | None = None
+) -> DataFrame:
     """Non-blank lines, decoded and trimmed, with where each one was read.
 
     `scan_pos` grows with the position inside one (source_file, block_start)
     split. It depends on how the scan was cut into tasks, so stage a frame before
-    using it (`number_lines` does).
+    using it (`number_lines` does). `text` is a frame of `open_logs` to scan instead
+    of listing the folder anew.
     """
-    return located_lines(open_text(spark.read, folder, prefix))
+    return located_lines(open_logs(spark, folder, prefix) if text is None else text)
 
 
 def located_lines(text: DataFrame) -> DataFrame:
@@ -89,7 +105,17 @@ def listing_by_scan_path(files: DataFrame) -> DataFrame:
 
 def with_file_no(lines: DataFrame, files: DataFrame) -> DataFrame:
     """Replace `source_file` by its number in the listing; an unlisted file fails the job."""
-    named = broadcast_if_small(listing_by_scan_path(files))
+    return with_file_no_of(lines, broadcast_if_small(listing_by_scan_path(files)))
+
+
+def with_file_no_of(lines: DataFrame, named: DataFrame, listed_only: bool = False) -> DataFrame:
+    """The same with a listing already keyed, for many frames of lines.
+
+    `listed_only` leaves lines of unlisted files out instead of failing.
+    """
+    if listed_only:
+        rest = [c for c in lines.columns if c != "source_file"]
+        return lines.join(named, "source_file").select("file_no", *rest)
     unlisted = F.raise_error(F.concat(F.lit("file is not in the listing: "), F.col("source_file")))
     number = F.coalesce(F.col("file_no"), unlisted.cast("int")).alias("file_no")
     rest = [c for c in lines.columns if c != "source_file"]

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import time
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,14 +10,17 @@ from pyspark.sql import functions as F
 from accesslens.operators.batch_totals import batch_metadata, malformed_summary
 from accesslens.operators.batching import batch_by_file
 from accesslens.plans.publishing import RunRequest, publish, record_run, stage_parsed
-from accesslens.schema import ALL_QUERIES, BATCH_METADATA
-from accesslens.session import delete_path, path_exists, scratch_path, stage
-from accesslens.sources.log_files import list_log_files, located_lines, open_text, with_file_no
+from accesslens.schema import ALL_QUERIES, BATCH_METADATA, SAMPLE_LINES
+from accesslens.session import broadcast_if_small, delete_path, path_exists, scratch_path, stage
+from accesslens.sources.log_files import (
+    list_log_files,
+    listing_by_scan_path,
+    located_lines,
+    open_text,
+    with_file_no_of,
+)
 from accesslens.tables.run_tables import RunTables
 
-# Every load is a partition of the run tables.
-MOST_LOADS = 1_000
-
 
 def stream_file_batches(
     spark: SparkSession,
@@ -28,21 +30,25 @@ def stream_file_batches(
     prefix: str = "",
     query: str = ALL_QUERIES,
     run_id: int | None = None,
-    files_per_trigger: int | None = None,
+    files_per_trigger: int = 1,
     checkpoint: str | None = None,
+    sample_lines: int = SAMPLE_LINES,
 ) -> int:
     """Process the files of a folder a few at a time, one batch per file; returns the run id.
 
-    Up to MOST_LOADS files go one by one, and the time each took is stored; of more
-    files, so many go together that the run stays within that number of loads.
-    Files arrive by age, but batch ids follow the sorted listing taken when the run
-    began. A micro-batch publishes under its own load id, so one that is repeated
-    after a failure overwrites itself. To resume a run, call again with its run_id
-    and checkpoint.
+    `files_per_trigger` files form a load, a partition of the run tables; the time a load
+    took is stored with each of its batches. Files arrive by age, but batch ids follow the
+    sorted listing taken when the run began. Files that arrive later are left to the next
+    run. A micro-batch publishes under its own load id, so one that is repeated after a
+    failure overwrites itself.
+
+    To resume a run, call again with its run_id and checkpoint, and with the same
+    `files_per_trigger`. A checkpoint that is not named is removed when the call ends.
     """
     request = RunRequest("stream", query)
     tables.init_tables()
-    run_id = tables.next_run_id() if run_id is None else int(run_id)
+    run_id = tables.reserve_run_id(run_id)
+    keep = checkpoint is not None
     checkpoint = checkpoint or scratch_path(spark, f"run-{run_id}-stream")
     work = scratch_path(spark, f"run-{run_id}")
     listing, progress = f"{checkpoint}/listing", f"{checkpoint}/progress"
@@ -51,28 +57,30 @@ def stream_file_batches(
     else:
         tables.delete_run(run_id)
         files = stage(list_log_files(spark, folder, prefix), listing)
-    together = files_per_trigger or math.ceil(files.count() / MOST_LOADS)
+    # Keyed and measured once for all micro-batches.
+    named = broadcast_if_small(stage(listing_by_scan_path(files), f"{work}/listing"))
 
     def load(lines: DataFrame, epoch: int) -> None:
         started = time.monotonic()
         # A micro-batch frame keeps the partitions of its scan, so ids are in line order.
         placed = lines.withColumn("scan_pos", F.monotonically_increasing_id())
         path = f"{work}/epoch-{epoch}"
-        parsed = stage_parsed(with_file_no(placed, files), request, spark, f"{path}/parsed")
+        numbered = with_file_no_of(placed, named, listed_only=True)
         publish(
             tables,
-            batch_by_file(parsed),
+            batch_by_file(stage_parsed(numbered, request, spark, f"{path}/parsed")),
             request,
             run_id,
-            path,
+            f"{path}/results",
             load_id=epoch + 1,
-            runtime=(lambda: round(time.monotonic() - started, 3)) if together == 1 else None,
+            runtime=lambda: round(time.monotonic() - started, 3),
+            sample_lines=sample_lines,
         )
         delete_path(spark, path)
 
     started = time.monotonic()
     try:
-        reader = spark.readStream.option("maxFilesPerTrigger", together)
+        reader = spark.readStream.option("maxFilesPerTrigger", int(files_per_trigger))
         stream = (
             located_lines(open_text(reader, folder, prefix))
             .writeStream.foreachBatch(load)
@@ -85,6 +93,8 @@ def stream_file_batches(
         record_run(tables, request, run_id, time.monotonic() - started)
     finally:
         delete_path(spark, work)
+        if not keep:
+            delete_path(spark, checkpoint)
     return run_id
 
 
@@ -95,7 +105,9 @@ def _load_empty_files(tables: RunTables, files: DataFrame, run_id: int, path: st
     seen = tables.stored(BATCH_METADATA).where((F.col("run_id") == run_id) & (F.col("load_id") > 0))
     batches = files.select(F.col("file_no").alias("batch_id"))
     absent = stage(batches.join(seen.select("batch_id"), "batch_id", "left_anti"), path)
+    # An empty file takes no time.
     metadata = batch_metadata(spark.createDataFrame([], "batch_id int, host string"), absent)
+    metadata = metadata.withColumn("batch_runtime_seconds", F.lit(0.0))
     tables.load_batches(metadata, run_id)
     no_samples = spark.createDataFrame([], "batch_id int, sample_lines array<string>")
     tables.load_malformed(malformed_summary(metadata, no_samples), run_id)

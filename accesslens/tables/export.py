@@ -59,5 +59,10 @@ def jdbc_options(url: str, table: str, **properties: str) -> dict[str, str]:
 
 
 def write_jdbc(rows: DataFrame, url: str, table: str, mode: str = "append", **properties: str) -> None:
-    """Append rows to a database table from all tasks, over a bounded number of connections."""
+    """Append rows to a database table from all tasks, over a bounded number of connections.
+
+    Every task commits on its own. A job that fails leaves the rows of the tasks that were done,
+    and running it again doubles them: append to an empty staging table and move its rows in one
+    statement of the database.
+    """
     rows.write.format("jdbc").options(**jdbc_options(url, table, **properties)).mode(mode).save()

@@ -23,7 +23,7 @@ from accesslens.schema import (
     RUN_METADATA,
     TABLE_COLUMNS,
 )
-from accesslens.session import delete_path, make_folder
+from accesslens.session import create_file, delete_path, file_names, make_folder
 
 PARTITIONS = "run_id INT, load_id INT"
 _STATUS = "table_name string, status string"
@@ -43,6 +43,7 @@ class RunTables:
         self.spark = spark
         self.root = root.rstrip("/")
         self.database = database
+        self._reserved = f"{self.root}/_reserved_run_ids"
 
     def name(self, table: str) -> str:
         if table not in TABLE_COLUMNS:
@@ -82,6 +83,7 @@ class RunTables:
         for table in reversed(TABLE_COLUMNS):
             self.spark.sql(f"DROP TABLE IF EXISTS {self.name(table)}")
             delete_path(self.spark, self.path(table))
+        delete_path(self.spark, self._reserved)
         return self.init_tables()
 
     def delete_run(self, run_id: int) -> None:
@@ -103,13 +105,17 @@ class RunTables:
     # -- writing -----------------------------------------------------------
 
     def load(self, table: str, rows: DataFrame, run_id: int, load_id: int = 0) -> None:
-        """Publish the rows of one load, typed as declared, over any earlier try."""
+        """Publish the rows of one load, typed as declared, over any earlier try.
+
+        They are written to the load's own folder: jobs that insert into one table share its
+        folder for unfinished files, and the first that ends would take the others' away.
+        """
         columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in TABLE_COLUMNS[table]]
-        self.spark.sql(
-            f"INSERT OVERWRITE TABLE {self.name(table)} "
-            f"PARTITION (run_id = {int(run_id)}, load_id = {int(load_id)}) SELECT * FROM {{rows}}",
-            rows=rows.select(*columns),
-        )
+        folder = f"{self.path(table)}/run_id={int(run_id)}/load_id={int(load_id)}"
+        rows.select(*columns).write.mode("overwrite").parquet(folder)
+        spec = f"run_id={int(run_id)}, load_id={int(load_id)}"
+        self.spark.sql(f"ALTER TABLE {self.name(table)} ADD IF NOT EXISTS PARTITION ({spec})")
+        self.spark.catalog.refreshTable(self.name(table))
 
     def load_query_results(self, query: str, rows: DataFrame, run_id: int, load_id: int = 0) -> None:
         """Publish a query's rows, sorted by batch and then in the query's own order."""
@@ -129,10 +135,28 @@ class RunTables:
         self.load(RUN_METADATA, record, run_id)
 
     def next_run_id(self) -> int:
-        """One past the highest id in use. With several writers, hand out the ids yourself."""
+        """One past the highest id that was ever reserved or is in use."""
         used = self._partitions(RUN_METADATA).unionByName(self._partitions(BATCH_METADATA))
         run_id = F.regexp_extract("partition", r"run_id=(\d+)", 1).cast("int")
-        return used.agg((F.coalesce(F.max(run_id), F.lit(0)) + 1).alias("free")).first()["free"]
+        highest = used.agg(F.coalesce(F.max(run_id), F.lit(0)).alias("highest")).first()["highest"]
+        reserved = [int(name) for name in file_names(self.spark, self._reserved) if name.isdigit()]
+        return max(highest, *reserved, 0) + 1
+
+    def reserve_run_id(self, run_id: int | None = None) -> int:
+        """An id that no other writer gets, or the given one, marked as used.
+
+        The mark is a file below the root that is created without overwriting, which only
+        one writer can do; the others try the next id. (The file system of a single machine
+        decides that within one process only.) Marks stay when a run is deleted, so that
+        its id is not handed out again; resetting the tables removes them.
+        """
+        if run_id is not None:
+            create_file(self.spark, f"{self._reserved}/{int(run_id)}")
+            return int(run_id)
+        free = self.next_run_id()
+        while not create_file(self.spark, f"{self._reserved}/{free}"):
+            free += 1
+        return free
 
     def _partitions(self, table: str) -> DataFrame:
         return self.spark.sql(f"SHOW PARTITIONS {self.name(table)}")

@@ -120,6 +120,19 @@ def log_folder(spark: SparkSession, sf_dir: str) -> str:
     return once(spark, ("log_folder", sf_dir), write)
 
 
+def latin_folder(spark: SparkSession, sf_dir: str) -> str:
+    """The lines as one text folder in ISO-8859-1, each after its number and letters beyond ASCII."""
+
+    def write():
+        root = scratch_path(spark, "latin-files")
+        line = F.concat(F.col("line_no").cast("string"), F.lit(" \u00e9\u00fc\u00df "), F.col("line"))
+        lines = log_lines(spark, sf_dir).select(line.alias("line"))
+        lines.write.csv(root, sep="\x01", quote="", escape="", encoding="ISO-8859-1")
+        return root
+
+    return once(spark, ("latin_folder", sf_dir), write)
+
+
 def scanned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The files read back, with the number of the file each line is in."""
     folder = log_folder(spark, sf_dir)
@@ -182,7 +195,7 @@ def run_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     records, batches = F.col("records"), F.col("batches")
-    mean = (records.cast("decimal(20,0)") / batches.cast("decimal(10,0)")).cast("decimal(12,2)")
+    mean = (records.cast("decimal(20,0)") / batches.cast("decimal(10,0)")).cast("decimal(20,2)")
     zero = F.lit(0).cast("bigint")
     orders = table(spark, sf_dir, "orders")
     return orders.join(measured, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(

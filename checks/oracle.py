@@ -241,6 +241,11 @@ ORACLE: dict[str, str] = {
     "batch_by_record_count": _parsed("SELECT line_no, by_count AS batch_id, line FROM parsed"),
     "batch_by_file": _parsed("SELECT by_file AS batch_id, line FROM parsed"),
     "stream_file_batches": _parsed(_daily("by_file")),
+    "stream_top_resources": _parsed(_resources("by_file")),
+    "stream_hourly_errors": _parsed(_hourly("by_file")),
+    "stream_batches": _parsed(f"SELECT *, true AS timed FROM ({_batches('by_file')})"),
+    "stream_malformed": _parsed(f"SELECT batch_id, malformed_count FROM ({_batches('by_file')})"),
+    "scan_latin_text": _lines("SELECT line_no || ' \u00e9\u00fc\u00df ' || line AS line FROM lines"),
     "parse_log_lines": _parsed("""
         SELECT line_no, host, log_date, log_hour, http_method, resource_path, protocol_version,
                status_code, bytes_raw, bytes_transferred
@@ -314,6 +319,21 @@ ORACLE: dict[str, str] = {
                count(*) OVER () AS total_rows
         FROM ({_hourly("by_count")})
         ORDER BY place LIMIT 50"""),
+    "run_report_daily_traffic": _parsed(f"""
+        SELECT CAST(row_number() OVER (ORDER BY batch_id, log_date, status_code) AS INTEGER) AS place, *,
+               count(*) OVER () AS total_rows
+        FROM ({_daily("by_count")})
+        ORDER BY place LIMIT 50"""),
+    "run_report_top_resources": _parsed(f"""
+        SELECT CAST(row_number() OVER (ORDER BY batch_id, request_count DESC, resource_path) AS INTEGER) AS place, *,
+               count(*) OVER () AS total_rows
+        FROM ({_resources("by_count")})
+        ORDER BY place LIMIT 20"""),
+    "run_report_run": _parsed(f"""
+        SELECT 'dataframe' AS pipeline_name, 'all' AS query_name, 'record_count' AS batch_strategy,
+               CAST({BATCH_LINES} AS INTEGER) AS configured_batch_size, *
+        FROM ({_TOTALS})"""),
+    "run_report_batches": _parsed(_batches("by_count")),
     "compare_runs": _runs(_compared("O") + " SELECT * FROM compared"),
     "compare_runs_side_by_side": _runs(_compared("F") + f" SELECT measure, {_SIDES} FROM compared GROUP BY measure"),
     "result_consistency": _runs(_COUNTED + """
@@ -335,6 +355,11 @@ ORACLE: dict[str, str] = {
     "delete_run": _parsed(_row_counts("by_count", "CAST(2 AS INTEGER) AS run_id")),
     "export_tsv": _parsed(_hourly()),
     "export_run": _parsed(_resources("by_count")),
+    "export_run_daily_traffic": _parsed(_daily("by_count")),
+    "export_run_hourly_errors": _parsed(_hourly("by_count")),
+    "export_run_malformed": _parsed(f"SELECT batch_id, malformed_count FROM ({_batches('by_count')})"),
+    "run_etl_sql_daily_traffic": _parsed(_daily("by_count")),
+    "run_etl_sql_top_resources": _parsed(_resources("by_count")),
     "run_etl": _parsed(_hourly("by_file")),
     "run_etl_record_count": _parsed(_resources("by_count")),
     "run_etl_sql": _parsed(_hourly("by_count")),

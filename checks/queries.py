@@ -34,12 +34,13 @@ from accesslens.schema import (
     TABLE_COLUMNS,
 )
 from accesslens.session import scratch_path
-from accesslens.sources import list_log_files, log_table_view, trim_nonblank
+from accesslens.sources import list_log_files, log_table_view, scan_log_text, trim_nonblank
 from accesslens.tables import RunTables, export_run, export_tsv
 from checks.inputs import (
     BATCH_LINES,
     LOG_PREFIX,
     finished_run,
+    latin_folder,
     log_folder,
     new_tables,
     padded_lines,
@@ -118,6 +119,39 @@ def stream_file_batches(spark, sf):
     return tables.read(QUERY_TABLES["query1"], run_id).drop("run_id")
 
 
+@register
+def stream_top_resources(spark, sf):
+    tables, run_id = finished_run(spark, sf, "file_based", "stream")
+    return tables.read(QUERY_TABLES["query2"], run_id).drop("run_id")
+
+
+@register
+def stream_hourly_errors(spark, sf):
+    tables, run_id = finished_run(spark, sf, "file_based", "stream")
+    return _plain(tables.read(QUERY_TABLES["query3"], run_id).drop("run_id"))
+
+
+@register
+def stream_batches(spark, sf):
+    tables, run_id = finished_run(spark, sf, "file_based", "stream")
+    timed = (F.col("batch_runtime_seconds") > 0).alias("timed")
+    return tables.read(BATCH_METADATA, run_id).select(
+        "batch_id", "batch_size", "malformed_count", "valid_records", timed
+    )
+
+
+@register
+def stream_malformed(spark, sf):
+    tables, run_id = finished_run(spark, sf, "file_based", "stream")
+    return tables.read(MALFORMED_SUMMARY, run_id).select("batch_id", "malformed_count")
+
+
+@register
+def scan_latin_text(spark, sf):
+    """Lines whose bytes are not ASCII come back as ISO-8859-1 has them."""
+    return scan_log_text(spark, latin_folder(spark, sf)).select("line")
+
+
 # -- lines and fields --------------------------------------------------------
 
 
@@ -281,6 +315,30 @@ def run_report_(spark, sf):
     return _plain(run_report(tables, run_id).pages["query3"].drop("run_id"))
 
 
+@register
+def run_report_daily_traffic(spark, sf):
+    tables, run_id = finished_run(spark, sf, "record_count")
+    return run_report(tables, run_id).pages["query1"].drop("run_id")
+
+
+@register
+def run_report_top_resources(spark, sf):
+    tables, run_id = finished_run(spark, sf, "record_count")
+    return run_report(tables, run_id).pages["query2"].drop("run_id")
+
+
+@register
+def run_report_run(spark, sf):
+    tables, run_id = finished_run(spark, sf, "record_count")
+    return _plain(run_report(tables, run_id).run).drop("run_id", "runtime_seconds", "execution_timestamp")
+
+
+@register
+def run_report_batches(spark, sf):
+    tables, run_id = finished_run(spark, sf, "record_count")
+    return run_report(tables, run_id).batches.drop("run_id", "batch_runtime_seconds")
+
+
 @register
 def compare_runs(spark, sf):
     newest = history.latest_run_per_pipeline(run_history(spark, sf), "O")
@@ -387,8 +445,35 @@ def export_run_(spark, sf):
     tables, run_id = finished_run(spark, sf, "record_count")
     folder = scratch_path(spark, "run-tsv")
     export_run(tables, run_id, folder)
-    columns = TABLE_COLUMNS[QUERY_TABLES["query2"]]
-    return spark.read.option("sep", "\t").option("quote", "").schema(columns).csv(f"{folder}/query2")
+    return _exported(spark, f"{folder}/query2", TABLE_COLUMNS[QUERY_TABLES["query2"]])
+
+
+def _exported(spark, folder, columns):
+    return spark.read.option("sep", "\t").option("quote", "").schema(columns).csv(folder)
+
+
+@register
+def export_run_daily_traffic(spark, sf):
+    tables, run_id = finished_run(spark, sf, "record_count")
+    folder = scratch_path(spark, "run-tsv")
+    export_run(tables, run_id, folder)
+    return _exported(spark, f"{folder}/query1", TABLE_COLUMNS[QUERY_TABLES["query1"]])
+
+
+@register
+def export_run_hourly_errors(spark, sf):
+    tables, run_id = finished_run(spark, sf, "record_count")
+    folder = scratch_path(spark, "run-tsv")
+    export_run(tables, run_id, folder)
+    return _plain(_exported(spark, f"{folder}/query3", TABLE_COLUMNS[QUERY_TABLES["query3"]]))
+
+
+@register
+def export_run_malformed(spark, sf):
+    tables, run_id = finished_run(spark, sf, "record_count")
+    folder = scratch_path(spark, "run-tsv")
+    export_run(tables, run_id, folder)
+    return _exported(spark, f"{folder}/malformed", "batch_id int, malformed_count bigint")
 
 
 @register
@@ -409,6 +494,18 @@ def run_etl_sql(spark, sf):
     return _plain(tables.read_ordered(QUERY_TABLES["query3"], run_id).drop("run_id"))
 
 
+@register
+def run_etl_sql_daily_traffic(spark, sf):
+    tables, run_id = finished_run(spark, sf, "record_count", "sql")
+    return tables.read_ordered(QUERY_TABLES["query1"], run_id).drop("run_id")
+
+
+@register
+def run_etl_sql_top_resources(spark, sf):
+    tables, run_id = finished_run(spark, sf, "record_count", "sql")
+    return tables.read_ordered(QUERY_TABLES["query2"], run_id).drop("run_id")
+
+
 @register
 def run_etl_batches(spark, sf):
     tables, run_id = finished_run(spark, sf, "file_based")

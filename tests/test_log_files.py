@@ -57,6 +57,14 @@ def test_listing_is_sorted_and_keeps_empty_files(spark, folder):
     assert [os.path.basename(r["path"]) for r in listed] == wanted
 
 
+def test_listing_sorts_names_as_they_are(spark, tmp_path):
+    for name in ("x a", "x!a", "x%a", "xa"):
+        (tmp_path / name).write_text(f"{name}\n")
+    lines = with_file_no(scan_log_text(spark, str(tmp_path)), list_log_files(spark, str(tmp_path)))
+    got = [row["line"] for row in lines.orderBy("file_no").collect()]
+    assert got == sorted(got) == ["x a", "x!a", "x%a", "xa"]
+
+
 def test_listing_says_what_is_missing(spark, folder, tmp_path):
     with pytest.raises(FileNotFoundError, match="no such log folder"):
         list_log_files(spark, str(tmp_path / "nowhere"))

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from accesslens.operators.aggregates import malformed_count
+from accesslens.functions import is_error
 from accesslens.operators.parsing import filter_valid, malformed_lines, parse_log_lines
 from accesslens.schema import LOG_GROUPS, LOG_PATTERN
 from accesslens.sources import trim_nonblank
@@ -69,6 +70,8 @@ MALFORMED = [
     # As many newlines as a matched line has groups, though no text scan gives such a line.
     "x" + "\n".join("abcdefgh"),
     "a\n1\n2\n3\n4\n5\n6\n7\n8",
+    "\n1\n2\n3\n4\n5\n6\n7\n8",
+    f"\n{GOOD}",
 ]
 
 
@@ -114,10 +117,14 @@ def plan_of(frame):
 
 def test_the_pattern_runs_once(spark):
     lines = spark.createDataFrame([(GOOD,)], "line string").repartition(2)
-    once = plan_of(parse_log_lines(lines).drop("is_valid"))
-    assert once.count("regexp_replace(") == 1 and "RLIKE" not in once
-    counted = plan_of(malformed_count(parse_log_lines(lines)))
-    assert "regexp_replace(" not in counted and counted.count("RLIKE") == 1
+    parsed = parse_log_lines(lines)
+    parsed.createOrReplaceTempView("parsed_once")
+    view = spark.sql("SELECT host, status_code FROM parsed_once WHERE host IS NOT NULL AND status_code > 200")
+    failed = filter_valid(parsed).where(is_error(F.col("status_code"))).select("status_code")
+    frames = [parsed, parsed.drop("is_valid"), malformed_count(parsed), filter_valid(parsed), malformed_lines(parsed), failed, view]
+    for frame in frames:
+        text = plan_of(frame)
+        assert text.count("regexp_replace(") == 1 and "RLIKE" not in text
 
 
 def mutated_lines(count=6000, seed=11):

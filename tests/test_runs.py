@@ -75,7 +75,7 @@ def test_variants_agree(spark, tables, logs):
         (4, 300, 3, 297),
     ]
     streamed = {b["batch_id"]: b["batch_runtime_seconds"] for b in tables.read(BATCH_METADATA, 3).collect()}
-    assert streamed[2] is None and all(streamed[b] > 0 for b in (1, 3, 4))
+    assert streamed[2] == 0 and all(streamed[b] > 0 for b in (1, 3, 4))
     samples = {r["batch_id"]: r["sample_lines"] for r in tables.read(MALFORMED_SUMMARY, 1).collect()}
     assert samples[1] == ["bad 7", "bad 107", "bad 207", "bad 307", "bad 407"] and samples[2] == []
     for run in tables.runs().collect():
@@ -157,7 +157,105 @@ def test_stream_takes_several_files_at_once(spark, tables, logs):
     run_id = stream_file_batches(spark, tables, str(logs), prefix="access_", files_per_trigger=3)
     batches = tables.read_ordered(BATCH_METADATA, run_id).collect()
     assert [b["batch_size"] for b in batches] == [700, 0, 1000, 300]
-    assert {b["batch_runtime_seconds"] for b in batches} == {None}
+    assert all((b["batch_runtime_seconds"] > 0) == (b["batch_size"] > 0) for b in batches)
+
+
+def test_a_stream_of_many_files_keeps_every_runtime(spark, tables, tmp_path):
+    folder = tmp_path / "logs"
+    folder.mkdir()
+    for n in range(7):
+        (folder / f"log_{n}").write_text(LINE.format(host=n, day=1, hour=1, path=1, status=200, size=1) + "\n")
+    run_id = run_etl(spark, tables, str(folder), prefix="log_", pipeline="stream", query="query1", files_per_trigger=4)
+    batches = tables.read(BATCH_METADATA, run_id).collect()
+    assert len(batches) == 7 and all(b["batch_runtime_seconds"] > 0 for b in batches)
+    assert tables.stored(BATCH_METADATA).where("load_id > 0").select("load_id").distinct().count() == 2
+
+
+def test_a_stream_resumes_although_a_file_was_added(spark, tables, tmp_path, monkeypatch):
+    from accesslens.streaming import file_batches
+
+    folder = tmp_path / "logs"
+    folder.mkdir()
+    write_logs(folder)
+    publish, done = file_batches.publish, []
+
+    def fail_at_first(*args, **kwargs):
+        done.append(kwargs["load_id"])
+        if len(done) == 1:
+            raise RuntimeError("lost")
+        publish(*args, **kwargs)
+
+    monkeypatch.setattr(file_batches, "publish", fail_at_first)
+    again = {"pipeline": "stream", "prefix": "access_", "run_id": 4, "checkpoint": str(tmp_path / "progress")}
+    with pytest.raises(Exception, match="lost"):
+        run_etl(spark, tables, str(folder), **again)
+    (folder / "access_aa").write_text(LINE.format(host=1, day=1, hour=1, path=1, status=200, size=1) + "\n")
+    run_etl(spark, tables, str(folder), **again)
+    assert [b["batch_size"] for b in tables.read_ordered(BATCH_METADATA, 4).collect()] == [700, 0, 1000, 300]
+    assert (tmp_path / "progress").exists()
+
+
+def test_an_unnamed_checkpoint_is_removed(spark, tables, logs):
+    from accesslens.session import file_names, shared_folder
+
+    run_id = stream_file_batches(spark, tables, str(logs), prefix="access_", query="query1", run_id=77)
+    assert not [name for name in file_names(spark, shared_folder(spark)) if name.startswith(f"run-{run_id}")]
+
+
+def test_a_file_that_arrives_after_the_listing_is_left_to_the_next_run(spark, tables, tmp_path, monkeypatch):
+    from accesslens.plans import run_etl as module
+
+    folder = tmp_path / "logs"
+    folder.mkdir()
+    write_logs(folder)
+    list_files = module.list_log_files
+
+    def list_and_add(*args):
+        files = list_files(*args)
+        (folder / "access_b2").write_text("late\n")
+        return files
+
+    monkeypatch.setattr(module, "list_log_files", list_and_add)
+    first = run_etl(spark, tables, str(folder), prefix="access_", query="query1")
+    monkeypatch.undo()
+    second = run_etl(spark, tables, str(folder), prefix="access_", query="query1")
+    sizes = [[b["batch_size"] for b in tables.read_ordered(BATCH_METADATA, r).collect()] for r in (first, second)]
+    assert sizes == [[700, 0, 1000, 300], [700, 0, 1, 1000, 300]]
+
+
+def test_two_runs_at_once_get_two_ids(spark, tables, logs):
+    from concurrent.futures import ThreadPoolExecutor
+
+    tables.init_tables()
+    with ThreadPoolExecutor(2) as pool:
+        runs = [pool.submit(run_etl, spark, tables, str(logs), prefix="access_", query="query1") for _ in range(2)]
+        ids = sorted(run.result() for run in runs)
+    assert ids == [1, 2]
+    assert all(tables.read(QUERY_TABLES["query1"], run_id).count() == 36 for run_id in ids)
+    tables.delete_run(2)
+    assert tables.reserve_run_id() == 3 and tables.next_run_id() == 4
+
+
+def test_old_results_stay_until_the_queries_are_done(spark, tables, logs, monkeypatch):
+    run_etl(spark, tables, str(logs), prefix="access_", run_id=3)
+    monkeypatch.setitem(publishing.QUERIES, "query3", lambda *a, **k: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        run_etl(spark, tables, str(logs), prefix="access_", run_id=3)
+    assert tables.run(3)["total_records_processed"] == 2000
+    assert tables.read(QUERY_TABLES["query3"], 3).count() > 0
+
+
+def test_a_run_keeps_as_many_samples_as_asked(spark, tables, logs):
+    run_id = run_etl(spark, tables, str(logs), prefix="access_", query="query1", sample_lines=2)
+    samples = {r["batch_id"]: r["sample_lines"] for r in tables.read(MALFORMED_SUMMARY, run_id).collect()}
+    assert samples[1] == ["bad 7", "bad 107"]
+
+
+def test_totals_of_very_large_batches(spark):
+    from accesslens.operators.batch_totals import run_totals
+
+    metadata = spark.createDataFrame([(1, 2 * 10**10, 0)], "batch_id int, batch_size bigint, malformed_count bigint")
+    assert int(run_totals(metadata).first()["average_batch_size"]) == 2 * 10**10
 
 
 def test_tables_are_created_once_kept_reset_and_deleted(spark, tables, logs):

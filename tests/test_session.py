@@ -39,7 +39,7 @@ def test_only_a_local_session_may_choose_one():
 def test_sizes_follow_the_input():
     assert shuffle_partitions(1) == 200
     assert shuffle_partitions(TB) == 4096
-    assert shuffle_partitions(100 * TB) == 100_000
+    assert shuffle_partitions(100 * TB) == 409_600
     assert scan_bytes(TB) == 128 * 2**20
     assert 512 * 2**20 < scan_bytes(100 * TB) < 550 * 2**20
 
