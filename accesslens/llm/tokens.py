@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -16,8 +17,8 @@ CHUNK = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # Letters up to here are letters in every version of Unicode.
 SETTLED = re.compile("[^\\u0000-\\u024f]")
-# Chunks a worker remembers, and the longest of them: at most some 100 MB.
-REMEMBERED = 400_000
+# Chunks a worker remembers in each of two generations, and the longest: at most some 100 MB.
+REMEMBERED = 250_000
 LONGEST = 48
 
 
@@ -28,6 +29,25 @@ def _byte_signs() -> dict[str, int]:
     return {chr(byte): byte for byte in plain} | {chr(256 + i): byte for i, byte in enumerate(hidden)}
 
 
+class ChunkIds(dict):
+    """Ids of chunks as they are asked for; those not asked for in a long time are forgotten."""
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode, self.older = encode, {}
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self.older.get(chunk)
+        if ids is None:
+            ids = array("I", self.encode(chunk)).tobytes()
+        if len(chunk) <= LONGEST:
+            if len(self) >= REMEMBERED:
+                self.older = dict(self)
+                self.clear()
+            self[chunk] = ids
+        return ids
+
+
 class TextEncoder:
     """Ids as the `tokenizers` library gives them, without added special tokens.
 
@@ -42,8 +62,8 @@ class TextEncoder:
         with open(path, encoding="utf-8") as file:
             parts = json.load(file)
         self.special = [token["content"] for token in parts["added_tokens"]]
-        self.known: dict[str, bytes] = {}
-        self.chunks = self._chunk_encoder(parts)
+        chunks = self._chunk_encoder(parts)
+        self.known = chunks and ChunkIds(chunks._core_bpe.encode_ordinary)
 
     @staticmethod
     def _chunk_encoder(parts: dict):
@@ -71,26 +91,14 @@ class TextEncoder:
     def _whole_ids(self, text: str) -> bytes:
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _chunk_ids(self, chunk: str) -> bytes:
-        if SETTLED.search(chunk):
-            ids = self._whole_ids(chunk)
-        else:
-            ids = np.array(self.chunks.encode_ordinary(chunk), "<u4").tobytes()
-        if len(chunk) <= LONGEST:
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            self.known[chunk] = ids
-        return ids
-
     def ids(self, text: str) -> bytes:
         """The ids of a text, as little-endian unsigned 32-bit numbers."""
-        if self.chunks is None or any(token in text for token in self.special):
+        if self.known is None or any(token in text for token in self.special):
             return self._whole_ids(text)
         chunks = CHUNK.findall(text)
-        found = list(map(self.known.get, chunks))
-        if None in found:
-            found = [self._chunk_ids(chunk) if ids is None else ids for chunk, ids in zip(chunks, found)]
-        return b"".join(found)
+        if SETTLED.search(text):
+            return b"".join([self._whole_ids(chunk) if SETTLED.search(chunk) else self.known[chunk] for chunk in chunks])
+        return b"".join(map(self.known.__getitem__, chunks))
 
 
 @lru_cache(maxsize=2)
