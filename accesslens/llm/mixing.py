@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from accesslens.llm.text import filled, whole_rows, with_outputs
+from accesslens.session import BROADCAST_BYTES, scratch_path, stage
 
 SEED = 17
 # Hexadecimal digits of a hash that a double holds exactly.
@@ -52,12 +53,10 @@ def source_rates(
         known = F.create_map(*pairs) if pairs else F.lit(None).cast("map<string,double>")
         weight = F.coalesce(F.try_element_at(known, F.col("_source")), F.lit(0.0)).cast("double")
     counts = counts.withColumn("_weight", weight)
-    # One row: the totals of a table with a row per source.
-    totals = counts.agg(F.sum("_docs").alias("_all"), F.sum("_weight").alias("_weights"))
-    rate = F.lit(float(epochs)) * F.col("_weight") * F.col("_all") / (F.col("_weights") * F.col("_docs"))
-    rated = counts.join(F.broadcast(totals)).withColumn(
-        "_rate", F.when(F.col("_weight") > 0, rate).otherwise(F.lit(0.0))
-    )
+    # Two numbers come to the driver.
+    totals = counts.agg(F.sum("_docs").alias("docs"), F.sum("_weight").alias("weights")).first()
+    share = F.lit(float(epochs)) * F.col("_weight") * F.lit(totals["docs"]) / (F.lit(totals["weights"]) * F.col("_docs"))
+    rated = counts.withColumn("_rate", F.when(F.col("_weight") > 0, share).otherwise(F.lit(0.0)))
     cdf = F.when(F.col("_rate") > 0, poisson_distribution(F.col("_rate"))).otherwise(F.array(F.lit(1.0)))
     return rated.select("_source", "_docs", "_rate", cdf.alias("_cdf"))
 
@@ -82,10 +81,14 @@ def mix_sources(
     the same count. Null and empty texts are replicated like others. An empty table gives an
     empty result. An input column named like an added one is replaced.
     """
-    rates = source_rates(docs, source, weights, epochs)
+    rates = stage(source_rates(docs, source, weights, epochs), scratch_path(docs.sparkSession, "rates"))
+    # A row per source. Few enough, they are sent to all tasks; else a source with many documents
+    # is a skewed key of a join, which adaptive execution splits.
+    size = rates.agg(F.coalesce(F.sum(F.size("_cdf") * 8 + F.octet_length(filled("_source")) + 64), F.lit(0)))
+    if size.first()[0] <= BROADCAST_BYTES:
+        rates = F.broadcast(rates)
     rows = whole_rows(docs)
     drawn = hashed(F.lit(seed), F.col("_row")[doc_id]) / F.lit(float(16**DIGITS))
-    # A row per source: small enough to be sent to all at run time, else joined with skewed keys split.
     rows = rows.join(rates, F.col("_row")[source].eqNullSafe(F.col("_source")))
     count = F.transform(F.array(drawn), lambda u: F.size(F.filter(F.col("_cdf"), lambda below: below <= u)))[0]
     rows = rows.select("_row", count.alias("n_copies"))
