@@ -5,19 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from accesslens.llm.text import ascii_lower, filled, whole_rows, with_outputs
+from accesslens.llm.text import WHITE, ascii_lower, filled, whole_rows, with_outputs
 from accesslens.session import scratch_path, stage
 
 FEWEST_CHARS = 20
 FEWEST_DOCS = 3
 BATCHES = 4
 FANOUT = 2
-STRIP = r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$"
 KEY = ["h", "g"]
 
 
 def line_key(line: Column) -> Column:
-    return ascii_lower(F.regexp_replace(line, STRIP, ""))
+    return ascii_lower(F.btrim(line, F.lit(WHITE)))
 
 
 class LineRuns:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from accesslens.llm.text import WORD, filled, held, whole_rows, with_outputs, words
 
 SYMBOLS = "[#*$%&|<>]"
-SEPARATOR = r"^[|>/\-]$"
+SEPARATORS = ("|", ">", "/", "-")
 PUNCTUATION = "[.!?,;:]"
 BOILERPLATE = (
     "(?i)(all rights reserved|cookie policy|privacy policy|terms of use|terms of service"
@@ -40,7 +40,7 @@ def line_fails(line: Column) -> Column:
 
     def judge(parts: Column) -> Column:
         n = F.size(parts)
-        marks = F.size(F.filter(parts, lambda word: word.rlike(SEPARATOR)))
+        marks = F.size(F.filter(parts, lambda word: word.isin(*SEPARATORS)))
         symbols = F.regexp_count(line, F.lit(SYMBOLS))
         return (n > 0) & (
             (symbols > MOST_SYMBOLS * _word_chars(parts))
