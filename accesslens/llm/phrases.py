@@ -19,52 +19,69 @@ HASHES = 64
 # A dictionary of so many phrases starts anew, so that a text of any length fits into memory.
 DICTIONARY = 1 << 18
 MULTIPLIER = 0x9E3779B97F4A7C15
-MASK = (1 << 60) - 1
 # The share of a text that an edit replaces: a quarter.
 EDITED = 4
 
 
 class PhraseParser:
-    """Parses bytes into phrases: each is the longest known one and the byte that makes it new."""
+    """Parses bytes into phrases: each is the longest known one and the byte that makes it new.
+
+    A phrase is its number times 256. `children` has the number of the phrase that a phrase and a
+    byte make, in the order they were found, so its keys spell all phrases.
+    """
 
     def __init__(self):
         self.children: dict[int, int] = {}
-        self.hashes = [0]
-        self.node = 0
+        self.phrase = 0
         self.full: list[np.ndarray] = []
 
     def copy(self) -> PhraseParser:
         twin = PhraseParser()
-        twin.children, twin.hashes, twin.node = self.children.copy(), self.hashes.copy(), self.node
-        twin.full = self.full.copy()
+        twin.children, twin.phrase, twin.full = self.children.copy(), self.phrase, self.full.copy()
         return twin
 
     def feed(self, data: bytes) -> PhraseParser:
-        node, children, hashes = self.node, self.children, self.hashes
-        get = children.get
+        phrase, children, most = self.phrase, self.children, DICTIONARY << 8
+        get, number = children.get, len(children) << 8
         for byte in data:
-            step = node << 8 | byte
-            node = get(step)
-            if node is None:
-                children[step] = len(hashes)
-                hashes.append((hashes[step >> 8] * MULTIPLIER + byte + 1) & MASK)
-                node = 0
-                if len(hashes) > DICTIONARY:
+            step = phrase | byte
+            phrase = get(step)
+            if phrase is None:
+                number += 256
+                children[step] = number
+                phrase = 0
+                if number == most:
                     self.full.append(self._least())
                     children.clear()
-                    del hashes[1:]
-        self.node = node
+                    number = 0
+        self.phrase = phrase
         return self
 
+    def _hashes(self) -> np.ndarray:
+        """A hash of every phrase's bytes: ((b1 m + b2) m + b3) ..., for all side by side.
+
+        value = factor * (value of `before`) + rest; every round puts twice as many bytes into it.
+        """
+        n = len(self.children)
+        steps = np.fromiter(self.children, np.int64, n)
+        before = np.concatenate(([0], steps >> 8))
+        factor, rest = np.full(n + 1, MULTIPLIER, np.uint64), np.zeros(n + 1, np.uint64)
+        factor[0], rest[1:] = 1, (steps & 255) + 1
+        while before.any():
+            rest += factor * rest[before]
+            factor *= factor[before]
+            before = before[before]
+        return rest[1:]
+
     def _least(self) -> np.ndarray:
-        mixed = np.array(self.hashes[1:], np.uint64)
+        mixed = self._hashes()
         for shift, factor in ((33, 0xFF51AFD7ED558CCD), (33, 0xC4CEB9FE1A85EC53)):
             mixed = (mixed ^ (mixed >> np.uint64(shift))) * np.uint64(factor)
         return np.unique((mixed >> np.uint64(32)).astype(np.uint32))[:HASHES]
 
     def signature(self) -> np.ndarray:
         """The smallest hashes of all phrases, in order."""
-        return np.unique(np.concatenate([*self.full, self._least()]))[:HASHES]
+        return np.unique(np.concatenate([*self.full, self._least()]))[:HASHES] if self.full else self._least()
 
 
 def phrase_signature(text: str) -> np.ndarray:
@@ -73,10 +90,9 @@ def phrase_signature(text: str) -> np.ndarray:
 
 def likeness(one: np.ndarray, other: np.ndarray) -> float:
     """The share of common phrases, estimated from the smallest hashes of both sets together."""
-    union = np.union1d(one, other)[:HASHES]
-    if not len(union):
-        return 1.0
-    return float((np.isin(union, one) & np.isin(union, other)).mean())
+    mine, theirs = set(one.tolist()), set(other.tolist())
+    union = sorted(mine | theirs)[:HASHES]
+    return sum(h in mine and h in theirs for h in union) / len(union) if union else 1.0
 
 
 def shown(signature: np.ndarray) -> str:
