@@ -48,7 +48,6 @@ RUNS = {
     "run_etl_file_based": ("file_based", "dataframe"),
     "run_etl_record_count": ("record_count", "dataframe"),
     "run_etl_sql": ("record_count", "sql"),
-    "run_etl_stream": ("file_based", "stream"),
 }
 
 
@@ -98,6 +97,10 @@ def main() -> None:
         seconds[name] = best_of(
             lambda s=strategy, p=pipeline: inputs.run(spark, SF_DIR, tables, s, p)
         )
+    # A streaming run takes its time per micro-batch: timed once, in few of them.
+    started = time.perf_counter()
+    inputs.run(spark, SF_DIR, tables, "file_based", "stream", files_per_trigger=10)
+    seconds["run_etl_stream"] = round(time.perf_counter() - started, 4)
     spark.stop()
     print(
         json.dumps(

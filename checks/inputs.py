@@ -154,7 +154,9 @@ def new_tables(spark: SparkSession) -> RunTables:
     return RunTables(spark, scratch_path(spark, "run-tables"), f"logs_{uuid.uuid4().hex[:12]}")
 
 
-def run(spark: SparkSession, sf_dir: str, tables: RunTables, strategy: str, pipeline: str = "dataframe") -> int:
+def run(
+    spark: SparkSession, sf_dir: str, tables: RunTables, strategy: str, pipeline: str = "dataframe", **options
+) -> int:
     size = BATCH_LINES if strategy == "record_count" else None
     return run_etl(
         spark,
@@ -164,6 +166,7 @@ def run(spark: SparkSession, sf_dir: str, tables: RunTables, strategy: str, pipe
         batch_strategy=strategy,
         batch_size=size,
         prefix=LOG_PREFIX,
+        **options,
     )
 
 
