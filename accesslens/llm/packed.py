@@ -1,9 +1,12 @@
-"""Arrays of whole numbers as small byte strings, for columns that tasks hand to each other."""
+"""Blocks: rows that hold arrays of whole numbers as small byte strings, and tables of such rows."""
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import zstandard
+from pyspark.sql import DataFrame
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -42,3 +45,16 @@ def cuts(keys: np.ndarray) -> np.ndarray:
     if not len(keys):
         return np.zeros(1, np.int64)
     return np.concatenate(([0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)]))
+
+
+def bucketed(blocks: DataFrame, path: str) -> DataFrame:
+    """Rows written in buckets by their column `block`: answers joined to them move, they do not."""
+    spark = blocks.sparkSession
+    name = f"blocks_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer = blocks.write.format("parquet").option("path", path).option("compression", "none")
+    writer.bucketBy(buckets, "block").saveAsTable(name)
+    table = spark.table(name)
+    # The files stay; only their entry in the session's catalog goes.
+    spark.sql(f"DROP TABLE {name}")
+    return table

@@ -11,7 +11,7 @@ FIRST = 6
 
 def _ranked(keys: np.ndarray) -> np.ndarray:
     """Dense ranks of sort keys."""
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     sorted_keys = keys[order]
     ranks = np.empty(len(keys), np.int64)
     ranks[order] = np.cumsum(np.concatenate(([0], sorted_keys[1:] != sorted_keys[:-1])))
@@ -67,7 +67,8 @@ class RunIndex:
                 prefix = ranks * (n + 1) + ahead(ranks + 1, size - span)
             ranks = _ranked(ranks * (n + 1) + ahead(ranks + 1, span))
             span *= 2
-        return np.argsort(ranks, kind="stable"), ranks if prefix is None else prefix
+        # Suffixes that are alike to their ends go in the order of the strings.
+        return np.argsort(ranks * n + np.arange(n)), ranks if prefix is None else prefix
 
     def _compress(self, text: np.ndarray, order: np.ndarray) -> None:
         last = text[order - 1]

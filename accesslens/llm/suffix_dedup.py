@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from accesslens.llm.packed import cuts, mixed, pack, unpack
+from accesslens.llm.packed import MIX, bucketed, cuts, mixed, pack, unpack
 from accesslens.llm.run_index import RunIndex
 from accesslens.llm.text import filled
 from accesslens.session import scratch_path, stage
@@ -29,14 +29,18 @@ GRAM = 24
 REACH = LENGTH - GRAM + 1
 BEFORE = LENGTH - GRAM
 AROUND = BEFORE + LENGTH
-BLOCK_BYTES = 4_000_000
+# A string around an anchor has so many bytes before it or more, or some on both sides, or so many
+# after: (bytes before, bytes after) of what it contains in each of these cases.
+EXTENDED = ((2 * BEFORE // 3 + 1, 0), (BEFORE // 3 + 1, BEFORE // 3 + 1), (0, 2 * BEFORE // 3 + 1))
+BLOCK_BYTES = 1_500_000
+SLICE = 1_000_000
 BUCKET_ANCHORS = 1_000_000
 BUCKET_STRINGS = 20_000
 # An anchor with more different surroundings is not indexed: its strings are compared by hash.
 INDEXED = 5_000
 FACTORS = (np.random.default_rng(9).integers(0, 2**63, AROUND + 2, np.uint64) << np.uint64(1)) | np.uint64(1)
 ROWS = 20_000
-# Anchors that need no look, those at the edge of a shared region, and those with too many surroundings.
+# Anchors that need no look, those at the edge of a shared region, and those at one with too many surroundings.
 NONE, EDGE, WIDE = 0, 1, 2
 
 
@@ -45,33 +49,39 @@ def _words(data: np.ndarray) -> np.ndarray:
     return np.lib.stride_tricks.sliding_window_view(data, 8).copy().view("<u8").ravel()
 
 
-def _hashes_at(data: np.ndarray, places: np.ndarray, size: int) -> np.ndarray:
-    """A hash of `size` bytes from each of some places; of `GRAM` bytes the one `gram_hashes` gives."""
-    steps = [*range(0, size - 7, 8), *([size - 8] if size % 8 else [])]
-    out = np.zeros(len(places), np.uint64)
-    for a in range(0, len(places), ROWS):
-        eight = [_eight(data, places[a : a + ROWS] + step) for step in steps]
-        value = eight[0]
-        for more in eight[1:]:
-            value = mixed(value) + more
-        out[a : a + ROWS] = (mixed(value) >> np.uint64(1)) | np.uint64(1)
-    return out
+def _finished(value: np.ndarray) -> np.ndarray:
+    """63 hash bits, never zero, of sums of products; in place."""
+    value ^= value >> np.uint64(32)
+    value *= MIX
+    value ^= value >> np.uint64(29)
+    value >>= np.uint64(1)
+    value |= np.uint64(1)
+    return value
+
 
+def _steps(size: int) -> list[int]:
+    """Where eight bytes each are read, to read `size` bytes."""
+    return [*range(0, size - 7, 8), *([size - 8] if size % 8 else [])]
 
-def _eight(data: np.ndarray, places: np.ndarray) -> np.ndarray:
-    return data[places[:, None] + np.arange(8)].view("<u8").ravel()
+
+def _hashes_at(words: np.ndarray, places: np.ndarray, size: int) -> np.ndarray:
+    """A hash of the `size` bytes from each of some places."""
+    value = np.zeros(len(places), np.uint64)
+    for factor, step in zip(FACTORS, _steps(size)):
+        value += words[places + step] * factor
+    return _finished(value)
 
 
 def gram_hashes(data: np.ndarray) -> np.ndarray:
-    """A 63-bit hash, never zero, of the `GRAM` bytes from each place."""
+    """A hash of the `GRAM` bytes from each place, as `_hashes_at` gives it."""
     if len(data) < GRAM:
         return np.zeros(0, np.uint64)
-    eight = _words(data)
+    words = _words(data)
     n = len(data) - GRAM + 1
-    value = eight[:n].copy()
-    for k in range(8, GRAM, 8):
-        value = mixed(value) + eight[k : k + n]
-    return (mixed(value) >> np.uint64(1)) | np.uint64(1)
+    value = np.zeros(n, np.uint64)
+    for factor, step in zip(FACTORS, _steps(GRAM)):
+        value += words[step : step + n] * factor
+    return _finished(value)
 
 
 def _sliding(values: np.ndarray, size: int, best) -> np.ndarray:
@@ -101,15 +111,22 @@ def anchors(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     strings that two documents share have an anchor at the same place.
     """
     starts = _string_starts(ends, len(data))
-    hashes = gram_hashes(data)
-    if len(hashes) < REACH or not starts.any():
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    least = _sliding(hashes, REACH, np.minimum)
-    least = np.where(starts[: len(least)], least, 0)
-    pad = np.zeros(REACH - 1, np.uint64)
-    most = _sliding(np.concatenate((pad, least, pad)), REACH, np.maximum)
-    places = np.flatnonzero(most == hashes)
-    return places, hashes[places]
+    n, margin = len(data) - GRAM + 1, REACH - 1
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.uint64))]
+    # Slice by slice, with the neighbours that decide at its edges, so that long texts need no more room.
+    for a in range(0, n, SLICE):
+        first, last = max(0, a - margin), min(n, a + SLICE + margin)
+        hashes = gram_hashes(data[first : last + GRAM - 1])
+        if len(hashes) < REACH:
+            continue
+        least = _sliding(hashes, REACH, np.minimum)
+        least = np.where(starts[first : first + len(least)], least, 0)
+        pad = np.zeros(margin, np.uint64)
+        most = _sliding(np.concatenate((pad, least, pad)), REACH, np.maximum)
+        places = np.flatnonzero(most == hashes)
+        places = places[(places >= a - first) & (places < a + SLICE - first)]
+        found.append((places + first, hashes[places]))
+    return np.concatenate([one[0] for one in found]), np.concatenate([one[1] for one in found])
 
 
 def _within(marks: np.ndarray, places: np.ndarray, back: int, ahead: int) -> np.ndarray:
@@ -145,6 +162,17 @@ def _surroundings(data: np.ndarray, ends: np.ndarray, places: np.ndarray) -> np.
     return out
 
 
+def _extended(data: np.ndarray, begins: np.ndarray, ends: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """32 hash bits of each of the `EXTENDED` strings around anchors, zero beyond their documents."""
+    words = _words(data) if len(data) >= 8 else np.zeros(0, np.uint64)
+    out = np.zeros((len(places), len(EXTENDED)), np.uint32)
+    for i, (before, after) in enumerate(EXTENDED):
+        size = before + GRAM + after
+        inside = (places - before >= begins) & (places + GRAM + after <= ends)
+        out[inside, i] = (_hashes_at(words, places[inside] - before, size) >> np.uint64(31)).astype(np.uint32) | 1
+    return out
+
+
 def _codes(ids: bytes, nulls: bytes) -> np.ndarray:
     """Document ids as unsigned numbers in the same order, null first."""
     codes = np.frombuffer(ids, np.int64).view(np.uint64) ^ np.uint64(1 << 63)
@@ -246,7 +274,7 @@ def _answer_shared(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"bucket": key[0], "block": rows["block"].to_numpy(), "shared": [pack(one) for one in shared]})
 
 
-ASKED = "bucket bigint, block bigint, keys binary, around binary, codes binary, places binary, at binary, n bigint"
+ASKED = "bucket bigint, block bigint, keys binary, around binary, codes binary, extended binary, places binary, at binary, n bigint"
 EDGES = "bucket bigint, block bigint, kind int, strings binary, lengths binary, codes binary, covered binary, edges binary, wide binary"
 
 
@@ -264,7 +292,9 @@ def _ask_covered(blocks: DataFrame, answers: DataFrame, buckets: int) -> DataFra
         shared = np.concatenate([unpack(one) for one in said.sort_values("bucket")["shared"]])[at] > 0
         places, keys = places[shared], _anchor_keys(hashes[shared])
         around = _surroundings(data, ends, places)
-        codes = _codes(row["ids"], row["nulls"])[np.searchsorted(ends, places, "right")]
+        doc = np.searchsorted(ends, places, "right")
+        codes = _codes(row["ids"], row["nulls"])[doc]
+        extended = _extended(data, np.concatenate(([0], ends[:-1]))[doc], ends[doc], places)
         order = np.lexsort((codes, around, keys, keys % np.uint64(buckets)))
         k, s = keys[order], around[order]
         new = np.concatenate(([True], (k[1:] != k[:-1]) | (s[1:] != s[:-1]))) if len(k) else np.zeros(0, bool)
@@ -276,18 +306,18 @@ def _ask_covered(blocks: DataFrame, answers: DataFrame, buckets: int) -> DataFra
         asked = [
             (
                 int(bucket[a]), key[0], pack(keys[first[a:b]]), around[first[a:b]].tobytes(),
-                pack(codes[first[a:b]]), None, None, int(b - a),
+                pack(codes[first[a:b]]), extended[first[a:b]].tobytes(), None, None, int(b - a),
             )
             for a, b in zip(edges[:-1], edges[1:])
         ]
-        own = (None, key[0], None, None, None, pack(places, True), pack(at), 0)
+        own = (None, key[0], None, None, None, None, pack(places, True), pack(at), 0)
         return pd.DataFrame([own, *asked], columns=names)
 
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(ask, ASKED)
 
 
 def _answer_covered(key: tuple, rows: pd.DataFrame, indexed: int) -> pd.DataFrame:
-    """The smallest document with the same surroundings, and whether the anchor has others too."""
+    """The smallest document with the same surroundings, and whether other surroundings are like them."""
     keys = [unpack(one) for one in rows["keys"]]
     flat, codes = np.concatenate(keys), np.concatenate([unpack(one) for one in rows["codes"]])
     around = np.concatenate([np.frombuffer(one, np.uint64) for one in rows["around"]])
@@ -296,9 +326,15 @@ def _answer_covered(key: tuple, rows: pd.DataFrame, indexed: int) -> pd.DataFram
     new = np.concatenate(([True], (k[1:] != k[:-1]) | (s[1:] != s[:-1])))
     group = np.cumsum(new) - 1
     least = codes[order[new]][group]
-    _, anchor = np.unique(k, return_inverse=True)
-    others = np.bincount(anchor, new)[anchor]
-    kind = np.where(others > indexed, WIDE, np.where(others > 1, EDGE, NONE))
+    first = order[new]
+    _, anchor, others = np.unique(flat[first], return_inverse=True, return_counts=True)
+    extended = np.concatenate([np.frombuffer(one, np.uint32).reshape(-1, len(EXTENDED)) for one in rows["extended"]])[first]
+    # Different surroundings can have a string in common only if they are alike in one of these.
+    alike = np.zeros(len(first), bool)
+    for column in extended.T:
+        _, at, times = np.unique(mixed(flat[first]) + column, return_inverse=True, return_counts=True)
+        alike |= (times[at] > 1) & (column > 0)
+    kind = np.where(alike, np.where(others[anchor] > indexed, WIDE, EDGE), NONE)[group]
     out_least, out_kind = np.empty_like(codes), np.empty(len(codes), np.int64)
     out_least[order], out_kind[order] = least, kind
     sizes = [len(one) for one in keys]
@@ -337,7 +373,8 @@ def _ask_edges(blocks: DataFrame, answers: DataFrame, buckets: int) -> DataFrame
         open_starts = _string_starts(ends, len(data)) & ~settled
         asks = ~covered & (_within(open_starts, places, BEFORE, 1) > 0)
         edge, wide = places[asks & (kind == EDGE)], places[asks & (kind == WIDE)]
-        bucket = (_anchor_keys(_hashes_at(data, edge, GRAM)) % np.uint64(buckets)).astype(np.int64)
+        words = _words(data)
+        bucket = (_anchor_keys(_hashes_at(words, edge, GRAM)) % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         edge, bucket = edge[order], bucket[order]
         codes = doc_codes[np.searchsorted(ends, edge, "right")]
@@ -348,7 +385,7 @@ def _ask_edges(blocks: DataFrame, answers: DataFrame, buckets: int) -> DataFrame
             out.append((int(bucket[a]), key[0], EDGE, strings, pack(length), pack(codes[a:b]), None, None, None))
         near = _within(_marked(wide, len(data)), np.arange(len(data)), 0, REACH) > 0
         starts = np.flatnonzero(open_starts & near)
-        strings, bucket, at = _distinct(_hashes_at(data, starts, LENGTH), buckets)
+        strings, bucket, at = _distinct(_hashes_at(words, starts, LENGTH), buckets)
         codes = np.full(len(strings), np.iinfo(np.uint64).max)
         np.minimum.at(codes, at, doc_codes[np.searchsorted(ends, starts, "right")])
         wides = cuts(bucket)
@@ -424,19 +461,6 @@ def _remove(key: tuple, mine: pd.DataFrame, said: pd.DataFrame, columns: list[st
     return pd.DataFrame({columns[0]: ids, "n_bytes": ends - begins, "spans": spans, "kept": kept})
 
 
-def _bucketed(blocks: DataFrame, folder: str) -> DataFrame:
-    """Blocks written in buckets by their number, so that joining answers to them moves the answers alone."""
-    spark = blocks.sparkSession
-    name = "blocks_" + folder.rsplit("-", 1)[-1]
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    writer = blocks.write.format("parquet").option("path", f"{folder}/blocks").option("compression", "none")
-    writer.bucketBy(buckets, "block").saveAsTable(name)
-    table = spark.table(name)
-    # The files stay; only their entry in the session's catalog goes.
-    spark.sql(f"DROP TABLE {name}")
-    return table
-
-
 def remove_repeats(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", block_bytes: int = BLOCK_BYTES, indexed: int = INDEXED
 ) -> DataFrame:
@@ -457,7 +481,7 @@ def remove_repeats(
     folder = scratch_path(spark, "repeats")
     rows = docs.select(F.col(doc_id).cast("bigint").alias("_id"), filled(text).alias("_text"))
     size = rows.agg(F.coalesce(F.sum(F.octet_length("_text")), F.lit(0))).first()[0]
-    blocks = _bucketed(_blocks(rows, block_bytes), folder)
+    blocks = bucketed(_blocks(rows, block_bytes), f"{folder}/blocks")
     buckets = 1 + size // (REACH // 2 * BUCKET_ANCHORS)
     shared = _ask_shared(blocks, buckets).groupBy("bucket")
     shared = shared.applyInPandas(_answer_shared, "bucket bigint, block bigint, shared binary")
