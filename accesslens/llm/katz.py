@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from accesslens.llm.packed import cuts, mixed, pack, unpack
+from accesslens.llm.packed import bucketed, cuts, mixed, pack, unpack
 from accesslens.llm.text import filled
 from accesslens.session import broadcast_if_small, scratch_path, stage
 
@@ -188,7 +188,10 @@ def _word_counts(blocks: DataFrame, buckets: int, folder: str) -> DataFrame:
         number[np.argsort(-total, kind="stable")] = np.arange(len(known), dtype=np.uint64)
         number = number * np.uint64(buckets) + np.uint64(key[0] + 1)
         ends = np.cumsum([len(one) for one in words])
-        said = [(key[0], block, pack(number[at[e - n : e]]), pack(total[at[e - n : e]])) for block, e, n in zip(rows["block"], ends, map(len, words))]
+        said = []
+        for block, end, n in zip(rows["block"], ends, map(len, words)):
+            mine = at[end - n : end]
+            said.append((key[0], block, pack(number[mine]), pack(total[mine])))
         table = (key[0], -1, pack(known, True), pack(total))
         return pd.DataFrame([*said, table], columns=["bucket", "block", "numbers", "counts"])
 
@@ -341,7 +344,9 @@ def _split_contexts(pairs: DataFrame, unigrams: Unigrams, discounts: Discounts,
 
     rows = pairs.where("bucket >= 0").select("bucket", *TABLE)
     rows = rows.mapInArrow(sums, "bucket bigint, context bigint, mass double, lower double")
-    whole = rows.groupBy("context").agg(F.sum("mass").alias("mass"), F.sum("lower").alias("lower"), F.collect_list("bucket").alias("buckets"))
+    whole = rows.groupBy("context").agg(
+        F.sum("mass").alias("mass"), F.sum("lower").alias("lower"), F.collect_list("bucket").alias("buckets")
+    )
     whole = whole.select(F.explode("buckets").alias("bucket"), F.struct("context", "mass", "lower").alias("split"))
     return stage(whole.groupBy("bucket").agg(F.collect_list("split").alias("split")), f"{folder}/split")
 
@@ -403,12 +408,11 @@ def katz_scores(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: st
     Every distinct pair of a block is sent once. A context that comes more than `BUCKET_PAIRS`
     times is split over buckets by word, and its sums are added up afterwards.
     """
-    spark = docs.sparkSession
-    folder = scratch_path(spark, "katz")
+    folder = scratch_path(docs.sparkSession, "katz")
     rows = docs.select(
         F.col(doc_id).cast("bigint").alias("_id"), filled(text).alias("_text"), F.coalesce(train, F.lit(False)).alias("_train")
     )
-    blocks = stage(_blocks(rows), f"{folder}/blocks", spark)
+    blocks = bucketed(_blocks(rows), f"{folder}/blocks")
     size = blocks.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
     word_buckets = 1 + size // BUCKET_WORDS
     answers = _word_counts(blocks, word_buckets, folder)
@@ -421,7 +425,8 @@ def katz_scores(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: st
     discounts = Discounts.of([0, *n])
     split = _split_contexts(pairs, unigrams, discounts, folder)
     scored = _partial_scores(pairs, split, unigrams, discounts)
-    schema = f"`{doc_id}` bigint, train boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
+    schema = f"`{doc_id}` bigint, train boolean, n_tokens bigint, n_known bigint, train_tokens bigint"
+    schema += ", base_score double, score double"
 
     def add_up(rows: pd.DataFrame) -> pd.DataFrame:
         own = rows[rows["docs"].isna()].iloc[0]
