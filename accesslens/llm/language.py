@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from accesslens.llm.text import filled, whole_rows, with_outputs
+from accesslens.llm.text import whole_rows, with_outputs
 
 LONGEST_GRAM = 3
 PROFILE = 400

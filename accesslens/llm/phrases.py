@@ -148,7 +148,10 @@ class _Document:
         )
 
 
-RESULT = "n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+RESULT = (
+    "n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+    "near_edited double, near_next double"
+)
 
 
 def compare_with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
