@@ -91,7 +91,8 @@ def runtime_ranking(chosen: DataFrame, within: Sequence[str] = ()) -> DataFrame:
 def compare_runs(chosen: DataFrame) -> DataFrame:
     """One row per (run, measure); needs at least two runs.
 
-    The chosen runs are evaluated once, here, and come to the driver. They are numbered by `position` if the frame has it, else by pipeline name.
+    The chosen runs are evaluated once, here, and come to the driver. They are numbered by
+    `position` if the frame has it, else by pipeline name.
     """
     runs = chosen.collect()
     if len(runs) < 2:
