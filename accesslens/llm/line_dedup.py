@@ -106,10 +106,10 @@ def dedup_lines(
     rows = whole_rows(docs).select(
         "_row",
         F.col("_row")[doc_id].alias("_id"),
-        F.split(filled(F.col("_row")[text]), "\n").alias("_lines"),
         F.xxhash64(filled(F.col("_row")[text])).alias("_text"),
     )
-    found = rows.select("_id", "_text", F.posexplode("_lines").alias("_at", "_line"))
+    lines = F.split(filled(F.col("_row")[text]), "\n")
+    found = rows.select("_id", "_text", F.posexplode(lines).alias("_at", "_line"))
     found = found.select("_id", "_text", "_at", line_key(F.col("_line")).alias("_key"))
     found = found.where(F.length("_key") >= min_chars)
     found = stage(
@@ -135,12 +135,16 @@ def dedup_lines(
     for i in range(len(bounds) + 1):
         runs.add(keys.where(F.col("_batch") == i).drop("_batch"))
     repeated = runs.totals().where((F.col("n_docs") >= min_docs) & F.col("holder").isNotNull()).drop("n_docs")
+    # Written, so that both sides of the join are plain shuffles, of which a frequent line's can be split.
+    repeated = stage(repeated, f"{folder}/repeated", spark)
     drops = found.join(repeated, KEY).where(F.col("_id").isNull() | (F.col("_id") < F.col("holder")))
     drops = drops.select(F.col("_id").alias("_drop_id"), F.col("_text").alias("_drop_text"), "_at").distinct()
     drops = drops.groupBy("_drop_id", "_drop_text").agg(F.collect_list("_at").alias("_drops"))
     rows = rows.join(
         drops, F.col("_id").eqNullSafe(F.col("_drop_id")) & (F.col("_text") == F.col("_drop_text")), "left"
     )
+    # Split again: the lines as well as the text would be twice the text to shuffle.
+    rows = rows.withColumn("_lines", lines)
     n = F.size("_lines")
     # Set difference by hashing keeps the order of the first array.
     places = F.array_except(F.sequence(F.lit(0), n - 1), F.col("_drops"))
