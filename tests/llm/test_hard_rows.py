@@ -7,7 +7,7 @@ from tokenizers import Tokenizer
 import brute
 import corpus_pipeline
 from accesslens.llm import chat, katz, language, line_dedup, mixing, packing, phrases, quality, simhash, suffix_dedup
-from conftest import CLASHING, HARD
+from hard_rows import CLASHING, HARD
 from test_results import check_packing
 
 PAIRS = [(row[0], row[1]) for row in HARD]
