@@ -3,6 +3,7 @@ import pytest
 from __spark_entry__ import SMOKE_DATA
 from hard_rows import CLASHING, COLUMNS, HARD
 
+
 @pytest.fixture(scope="session")
 def hard(spark):
     """The hard rows with an extra column under every name that an operator uses itself."""
