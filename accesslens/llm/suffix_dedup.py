@@ -35,7 +35,7 @@ EXTENDED = ((2 * BEFORE // 3 + 1, 0), (BEFORE // 3 + 1, BEFORE // 3 + 1), (0, 2
 BLOCK_BYTES = 1_500_000
 SLICE = 1_000_000
 BUCKET_ANCHORS = 1_000_000
-BUCKET_STRINGS = 20_000
+BUCKET_STRINGS = 80_000
 # An anchor with more different surroundings is not indexed: its strings are compared by hash.
 INDEXED = 5_000
 FACTORS = (np.random.default_rng(9).integers(0, 2**63, AROUND + 2, np.uint64) << np.uint64(1)) | np.uint64(1)
@@ -274,8 +274,14 @@ def _answer_shared(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"bucket": key[0], "block": rows["block"].to_numpy(), "shared": [pack(one) for one in shared]})
 
 
-ASKED = "bucket bigint, block bigint, keys binary, around binary, codes binary, extended binary, places binary, at binary, n bigint"
-EDGES = "bucket bigint, block bigint, kind int, strings binary, lengths binary, codes binary, covered binary, edges binary, wide binary"
+ASKED = (
+    "bucket bigint, block bigint, keys binary, around binary, codes binary, extended binary, "
+    "places binary, at binary, n bigint"
+)
+EDGES = (
+    "bucket bigint, block bigint, kind int, strings binary, lengths binary, codes binary, "
+    "covered binary, edges binary, wide binary"
+)
 
 
 def _ask_covered(blocks: DataFrame, answers: DataFrame, buckets: int) -> DataFrame:
