@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from accesslens.llm.text import filled, whole_rows, with_outputs
 
 TURNS = "array<struct<role:string,text:string>>"
+# Spark reads no JSON string of 20 million characters and no record of 128 MiB; below this it may say null.
+LARGE = 1 << 24
 SCALAR = r": (?!OBJECT<|ARRAY<)[A-Z_]+(\([0-9, ]*\))?"
 
 # Marks around a turn by role; any other role is written as [ROLE:name] text [/ROLE].
@@ -90,7 +92,7 @@ LAYOUTS = (
 
 
 def canonical_turns(
-    records: DataFrame, record: str = "record", layouts: Sequence[Layout] = LAYOUTS
+    records: DataFrame, record: str = "record", layouts: Sequence[Layout] = LAYOUTS, texts: str | None = None
 ) -> DataFrame:
     """Every input row with the fingerprint of its JSON record, its layout and its turns.
 
@@ -100,8 +102,12 @@ def canonical_turns(
     so that a caller sees what no mapping covers. A null text or role is empty. Repeated rows
     are converted alike; an empty table gives an empty result; an input column named like an
     added one is replaced. Nothing is shuffled.
+
+    With `texts`, an array column, the texts in a record are their places in that array. A record of
+    `LARGE` bytes or more that is malformed, or beyond what Spark parses, fails the job.
     """
-    parsed = F.try_parse_json(F.col("_row")[record])
+    source = F.col("_row")[record]
+    parsed = F.when(F.octet_length(source) >= LARGE, F.parse_json(source)).otherwise(F.try_parse_json(source))
     rows = whole_rows(records).withColumn("_record", parsed)
     shape = F.regexp_replace(F.schema_of_variant("_record"), SCALAR, "")
     rows = rows.withColumn("_fingerprint", F.when(F.col("_record").isNotNull(), F.sha2(shape, 256)))
@@ -110,6 +116,9 @@ def canonical_turns(
         known = F.col("_fingerprint") == layout.fingerprint
         name = F.when(known, layout.name).otherwise(name)
         turns = F.when(known, layout.turns(F.col("_record"))).otherwise(turns)
+    if texts is not None:
+        said = lambda turn: filled(F.get(F.col("_row")[texts], turn["text"].cast("int")))
+        turns = F.transform(turns, lambda turn: F.struct(turn["role"].alias("role"), said(turn).alias("text")))
     return with_outputs(
         rows, records.columns, {"fingerprint": F.col("_fingerprint"), "layout": name, "turns": turns}
     )
@@ -172,19 +181,30 @@ def learned_text(pieces: Column) -> Column:
     return F.array_join(F.transform(F.filter(pieces, lambda p: p["loss"]), lambda p: unescape(p["text"])), "")
 
 
-def gather_records(rows: DataFrame, chat: str = "conv_id", turn: str = "turn") -> DataFrame:
+def gather_records(
+    rows: DataFrame, chat: str = "conv_id", turn: str = "turn", texts: str | None = None
+) -> DataFrame:
     """Rows (chat, turn, role, text) as one JSON record per chat (columns: chat, record).
 
+    With `texts`, a column of that name has the texts in order, and the record their places in it:
+    a record with texts of some 20 MB or more is none that Spark parses.
+
     Turns go by turn, then role and text; nulls first. A lone question and answer, with or
     without a system turn before, take the prompt layouts, anything else the messages layout.
     Null roles and texts are empty; null chats are one chat. A chat becomes one record, so its
-    text has to fit into one row.
+    text has to fit into one row; without texts, it has room for some 3 million turns.
     """
     turns = F.struct(F.col(turn).alias("turn"), filled("role").alias("role"), filled("text").alias("content"))
     said = rows.groupBy(F.col(chat).alias(chat)).agg(F.sort_array(F.collect_list(turns)).alias("_turns"))
     roles = F.array_join(F.col("_turns")["role"], "|")
-    text = lambda i: F.get(F.col("_turns"), F.lit(i))["content"]
-    messages = F.transform("_turns", lambda row: F.struct(row["role"].alias("role"), row["content"].alias("content")))
+    if texts is None:
+        content = lambda row, i: row["content"]
+    else:
+        content = lambda row, i: i.cast("string")
+    text = lambda i: content(F.get(F.col("_turns"), F.lit(i)), F.lit(i))
+    messages = F.transform(
+        "_turns", lambda row, i: F.struct(row["role"].alias("role"), content(row, i).alias("content"))
+    )
     record = (
         F.when(roles == "user|assistant", F.to_json(F.struct(text(0).alias("prompt"), text(1).alias("response"))))
         .when(
@@ -193,4 +213,5 @@ def gather_records(rows: DataFrame, chat: str = "conv_id", turn: str = "turn") -
         )
         .otherwise(F.to_json(F.struct(messages.alias("messages"))))
     )
-    return said.select(chat, record.alias("record"))
+    apart = [] if texts is None else [F.col("_turns")["content"].alias(texts)]
+    return said.select(chat, record.alias("record"), *apart)
