@@ -357,7 +357,8 @@ def _answer_covered(key: tuple, rows: pd.DataFrame, indexed: int) -> pd.DataFram
 def _ask_edges(blocks: DataFrame, answers: DataFrame, buckets: int) -> DataFrame:
     """Per block (null bucket) what is covered and what was asked, and the questions.
 
-    EDGE questions are the surroundings of anchors, by anchor; WIDE ones are hashes of strings.
+    EDGE questions are the surroundings of anchors, by anchor, each once a document however often it
+    has them; WIDE ones are hashes of strings.
     """
     names = [part.split()[0] for part in EDGES.split(", ")]
 
@@ -381,9 +382,14 @@ def _ask_edges(blocks: DataFrame, answers: DataFrame, buckets: int) -> DataFrame
         edge, wide = places[asks & (kind == EDGE)], places[asks & (kind == WIDE)]
         words = _words(data)
         bucket = (_anchor_keys(_hashes_at(words, edge, GRAM)) % np.uint64(buckets)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        edge, bucket = edge[order], bucket[order]
-        codes = doc_codes[np.searchsorted(ends, edge, "right")]
+        codes, around = doc_codes[np.searchsorted(ends, edge, "right")], _surroundings(data, ends, edge)
+        order = np.lexsort((codes, around, bucket))
+        differs = [one[order][1:] != one[order][:-1] for one in (bucket, around, codes)]
+        new = np.concatenate(([True], np.any(differs, axis=0)))[: len(order)]
+        edge_at = np.empty(len(order), np.int64)
+        edge_at[order] = np.cumsum(new) - 1
+        everywhere, first = edge, order[new]
+        edge, bucket, codes = edge[first], bucket[first], codes[first]
         out, edges = [], cuts(bucket)
         for a, b in zip(edges[:-1], edges[1:]):
             rows, _, length = _around(data, ends, edge[a:b])
@@ -398,7 +404,7 @@ def _ask_edges(blocks: DataFrame, answers: DataFrame, buckets: int) -> DataFrame
         for a, b in zip(wides[:-1], wides[1:]):
             asked = strings[a:b].tobytes(), None, pack(codes[a:b])
             out.append((int(bucket[a]), key[0], WIDE, *asked, None, None, None))
-        own = pack(places[covered], True), pack(edge), pack(starts, True) + pack(at)
+        own = pack(places[covered], True), pack(np.concatenate((everywhere, edge_at))), pack(starts, True) + pack(at)
         sizes = len(pack(starts, True))
         return pd.DataFrame([(None, key[0], sizes, None, None, None, *own), *out], columns=names)
 
@@ -445,10 +451,12 @@ def _remove(key: tuple, mine: pd.DataFrame, said: pd.DataFrame, columns: list[st
         said = said[said["answer"].notna()].sort_values("bucket")
         edges = [unpack(one) for one in said.loc[said["kind"] == EDGE, "answer"]]
         if edges:
-            places, bits = unpack(own["edges"]).astype(np.int64), np.concatenate(edges)
-            at, step = np.nonzero((bits[:, None] >> np.arange(REACH, dtype=np.uint64)) & np.uint64(1))
-            first = np.maximum(places[at] - BEFORE, begins[np.searchsorted(ends, places[at], "right")]) + step
-            mark(first, first + LENGTH)
+            places, at = unpack(own["edges"]).astype(np.int64).reshape(2, -1)
+            bits = np.concatenate(edges)[at]
+            begin = np.maximum(places - BEFORE, begins[np.searchsorted(ends, places, "right")])
+            for step in range(REACH):
+                first = begin[(bits >> np.uint64(step)) & np.uint64(1) > 0] + step
+                mark(first, first + LENGTH)
         wide = [unpack(one) for one in said.loc[said["kind"] == WIDE, "answer"]]
         if wide:
             starts = unpack(own["wide"][: int(own["kind"])], True).astype(np.int64)
