@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from accesslens.llm.line_dedup import dedup_lines
 from accesslens.llm.mixing import mix_sources
-from accesslens.llm.near_dups import drop_similar
 from accesslens.llm.packing import pack_sequences
 from accesslens.llm.quality import line_first_clean
+from accesslens.llm.simhash import drop_near_duplicates
 from accesslens.session import scratch_path, stage
 
 # Packing tokenizes, which SQL cannot; tests hold each stage to a brute-force version.
@@ -36,8 +36,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: five-word shingles, similarity 0.8 or more."""
-    return drop_similar(docs)
+    """One document of each group of near duplicates stays: three-word shingles, two bits or fewer apart."""
+    return drop_near_duplicates(docs)
 
 
 def mix_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
