@@ -143,6 +143,14 @@ def link_components(prints: DataFrame, folder: str) -> DataFrame:
     return components(links.select("link.a", "link.b"), folder)
 
 
+def _classes(rows: DataFrame, folder: str) -> DataFrame:
+    """(fp, root): every fingerprint of `rows` with the least one of its component."""
+    # Dealt out before they are multiplied into postings: a small file would be one task.
+    prints = stage(rows.select("fp").distinct().repartition("fp"), f"{folder}/prints", rows.sparkSession)
+    linked = link_components(prints, folder).withColumnsRenamed({"a": "fp", "b": "root"})
+    return prints.join(linked, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def simhash_groups(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle_words: int = SHINGLE_WORDS
 ) -> DataFrame:
@@ -159,10 +167,8 @@ def simhash_groups(
     folder = scratch_path(spark, "simhash")
     read = docs.select(F.col(doc_id).alias("_id"), filled(text).alias("_text"))
     rows = stage(read.select("_id", simhash_column(F.col("_text"), shingle_words).alias("fp")), f"{folder}/rows", spark)
-    prints = stage(rows.groupBy("fp").agg(F.min("_id").alias("first")), f"{folder}/prints", spark)
-    linked = link_components(prints.select("fp"), folder)
-    roots = prints.join(linked.withColumnsRenamed({"a": "fp", "b": "root"}), "fp", "left")
-    roots = roots.withColumn("root", F.coalesce("root", "fp"))
+    least = rows.groupBy("fp").agg(F.min("_id").alias("first"))
+    roots = _classes(rows, folder).join(least, "fp")
     firsts = roots.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = roots.join(firsts, "root").select("fp", "component_id")
     # One row per fingerprint on the right: a group of copies is split like any skewed key.
@@ -176,17 +182,29 @@ def drop_near_duplicates(
 ) -> DataFrame:
     """The input's rows and columns, one row per component: the one of the smallest id.
 
-    Rows that share an id and that is the smallest of its component leave one of them. Of a
-    component of null ids alone one row stays. An empty table gives an empty result.
+    Components are those of `simhash_groups`. Every component keeps a row of its own, also where
+    rows share an id without sharing a text: of such rows in one component the one of the smaller
+    fingerprint stays, then of the smaller text hash. Null ids come after all others. Of rows equal
+    in id and text one stays. An empty table gives an empty result.
     """
-    groups = simhash_groups(docs, doc_id, text, shingle_words)
-    kept = groups.where(F.col(doc_id).eqNullSafe(F.col("component_id")))
-    kept = kept.select(F.col(doc_id).alias("_id"), F.conv("fingerprint", 16, -10).cast("bigint").alias("_fp")).distinct()
-    known = kept.where(F.col("_id").isNotNull()).groupBy("_id").agg(F.min("_fp").alias("_fp"))
-    rows = whole_rows(docs).withColumn("_id", F.col("_row")[doc_id])
-    stay = rows.where(F.col("_id").isNotNull()).join(known, "_id")
-    unknown = kept.where(F.col("_id").isNull()).select(F.col("_fp").alias("_null_fp"))
-    nulls = rows.where(F.col("_id").isNull()).withColumn("_fp", simhash_column(filled(F.col("_row")[text]), shingle_words))
-    nulls = nulls.join(unknown, F.col("_fp") == F.col("_null_fp")).dropDuplicates(["_fp"])
-    stay = stay.dropDuplicates(["_id"]).select("_row").unionByName(nulls.select("_row"))
+    spark = docs.sparkSession
+    folder = scratch_path(spark, "simhash")
+    read = docs.select(F.col(doc_id).alias("_id"), filled(text).alias("_text"))
+    rows = read.select("_id", F.xxhash64("_text").alias("_hash"), simhash_column(F.col("_text"), shingle_words).alias("fp"))
+    rows = stage(rows, f"{folder}/rows", spark)
+    # Rows are picked by their keys, added up per fingerprint first; texts move once, to be joined.
+    first = F.min(F.struct(F.col("_id").isNull().alias("unknown"), "_id", "fp", "_hash")).alias("first")
+    firsts = rows.groupBy("fp").agg(first).join(_classes(rows, folder), "fp")
+    kept = firsts.groupBy("root").agg(F.min("first").alias("first")).select("first.*")
+    kept = kept.select(*_row_key(F.col("_id"), F.col("_hash")))
+    # The join deals rows out by the very keys that the last step needs.
+    known = whole_rows(docs).select("_row", *_row_key(F.col("_row")[doc_id], F.xxhash64(filled(F.col("_row")[text]))))
+    names = [name for name in known.columns if name != "_row"]
+    stay = known.join(kept, names, "left_semi").dropDuplicates(names)
     return with_outputs(stay, docs.columns, {})
+
+
+def _row_key(key: Column, digest: Column) -> list[Column]:
+    """A row's id and text hash without nulls, so that a plain join finds it."""
+    shown = F.coalesce(key.cast("string"), F.lit(""))
+    return [key.isNotNull().alias("_known"), shown.alias("_key"), digest.alias("_hash")]
