@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from accesslens.llm.byte_bpe import encode_and_decode
 from accesslens.llm.chat import canonical_turns, format_chat, gather_records, learned_text, read_turns
 from accesslens.llm.katz import katz_scores
 from accesslens.llm.language import identify, learn_profiles
@@ -145,3 +146,13 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(MIX)
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"))
+
+
+@register()
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    coded = encode_and_decode(docs, path, public_tokenizers.PATTERN)
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), sha256("decoded").alias("decoded_sha256"))
