@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from accesslens.llm.text import filled, whole_rows, with_outputs
-from accesslens.llm.tokens import CHUNK, SPLIT, ChunkIds
+from accesslens.llm.tokens import ChunkIds
 
 # States, and pairs of tokens, that a worker remembers before it starts anew (some 250 MB); results do not change.
 STATES = 400_000
@@ -72,6 +72,8 @@ class MergeTransducer:
                     self.token_at.append(NOTHING)
                 node = self.children[step]
             self.token_at[node] = rank
+        # A reading at any other node cannot go on.
+        self.inner = {step >> 8 for step in self.children}
         self.agreeing: dict[tuple[int, int], bool] = {}
         self.halves: dict[bytes, tuple[bytes, bytes] | None] = {}
         self.edges: dict[tuple[bytes, int], list[tuple[bytes, int]] | None] = {}
@@ -165,13 +167,14 @@ class MergeTransducer:
 
     def _step(self, state: tuple[int, ...], byte: int) -> tuple[tuple[int, ...], tuple[int, ...]]:
         """The readings after one more byte, and the tokens that all of them share by now."""
-        readings, children, token_at, settled = [], self.children, self.token_at, state[0]
+        readings, children, inner, token_at, settled = [], self.children, self.inner, self.token_at, state[0]
         for reading in state[1:]:
             child = children.get((reading & NODES) << 8 | byte)
             if child is None:
                 continue
             open_tokens = reading >> NODE_BITS
-            readings.append(open_tokens << NODE_BITS | child)
+            if child in inner:
+                readings.append(open_tokens << NODE_BITS | child)
             token = token_at[child]
             if token != NOTHING and self.agree((open_tokens & TOKENS) - 1 if open_tokens else settled, token):
                 readings.append((open_tokens << TOKEN_BITS | token + 1) << NODE_BITS)
@@ -181,10 +184,11 @@ class MergeTransducer:
         paths = [_tokens(reading >> NODE_BITS) for reading in readings]
         shared = next((i for i, one in enumerate(zip(*paths)) if len(set(one)) > 1), len(paths[0]))
         if not shared:
-            return (settled, *readings), ()
+            # Every reading has a token after the settled one, which decides nothing any more.
+            return (NOTHING, *readings), ()
         emitted = paths[0][:shared]
         kept = [_reading(path[shared:], reading & NODES) for path, reading in zip(paths, readings)]
-        return (emitted[-1], *kept), tuple(emitted)
+        return (emitted[-1] if kept[0] <= NODES else NOTHING, *kept), tuple(emitted)
 
     def _determinise(self, number: int, byte: int) -> tuple[int, tuple[int, ...]]:
         if len(self.states) >= STATES:
@@ -300,23 +304,15 @@ class ByteBpe:
             for name in ("L", "N"):
                 pattern = pattern.replace(rf"\p{{{name}}}", rf"[\p{{{name}}}--[{signs}]]")
             self.settled = regex.compile(f"(?V1){pattern}")
-        # Runs that this pattern never joins with their neighbours: found faster, and mostly seen before.
-        self.runs = CHUNK if self.plain.pattern == SPLIT else None
-        self.known = ChunkIds(self._ids_of)
+        # Most pieces of a text have been seen before.
+        self.known = ChunkIds(lambda piece: self.transducer.encode(piece.encode()))
         self.steps: dict[tuple[bytes, int], tuple[str, bytes]] = {}
 
-    def _split(self, text: str) -> list[str]:
-        newer = self.newer is not None and not text.isascii() and self.newer.search(text)
-        return (self.settled if newer else self.plain).findall(text)
-
-    def _ids_of(self, run: str) -> list[int]:
-        return [token for piece in self._split(run) for token in self.transducer.encode(piece.encode())]
-
     def ids(self, text: str) -> bytes:
         """The ids of a text, as little-endian unsigned 32-bit numbers."""
-        if self.runs is None:
-            return np.array(self._ids_of(text), "<u4").tobytes()
-        return b"".join(map(self.known.__getitem__, self.runs.findall(text)))
+        newer = self.newer is not None and not text.isascii() and self.newer.search(text)
+        pieces = (self.settled if newer else self.plain).findall(text)
+        return b"".join(map(self.known.__getitem__, pieces))
 
     def text(self, ids: bytes) -> str:
         decoder = StreamDecoder(self.transducer.bytes_of, self.steps)
