@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from accesslens.llm.byte_bpe import encode_and_decode
 from accesslens.llm.chat import canonical_turns, format_chat, gather_records, learned_text, read_turns
+from accesslens.llm.collocations import collocations
 from accesslens.llm.katz import katz_scores
 from accesslens.llm.language import identify, learn_profiles
 from accesslens.llm.line_dedup import dedup_lines
@@ -17,7 +18,8 @@ from accesslens.llm.packing import pack_sequences
 from accesslens.llm.phrases import compare_with_next
 from accesslens.llm.quality import line_first_clean
 from accesslens.llm.simhash import simhash_groups
-from accesslens.llm.sql import CHAT, LINE_DEDUP, MIX, QUALITY
+from accesslens.llm.spelling import runs, spelling_variants
+from accesslens.llm.sql import CHAT, COLLOCATIONS, LINE_DEDUP, MIX, QUALITY, SPELLING
 from accesslens.llm.suffix_dedup import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -148,6 +150,28 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"))
 
 
+def _misspelt(rows: DataFrame) -> DataFrame:
+    """(word): one run in 31 loses a code point, by a hash of its document and itself."""
+    key = F.concat(F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit(":"), F.col("run"))
+    rows = rows.withColumn("h", F.crc32(key.cast("binary")))
+    at = (F.col("h") % F.length("run")).cast("int")
+    shorter = F.concat(F.substring(F.col("run"), F.lit(1), at), F.substring(F.col("run"), at + 2, F.length("run")))
+    return rows.select(F.when(F.col("h") % 31 == 0, shorter).otherwise(F.col("run")).alias("word"))
+
+
+@register(SPELLING)
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # A shorter run cannot leave a word of seven code points.
+    typed = _misspelt(runs(table(spark, sf_dir, "documents"), least_length=7)).where("length(word) >= 7")
+    words = typed.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where("n >= 2")
+    return spelling_variants(words)
+
+
+@register(COLLOCATIONS)
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 @register()
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers

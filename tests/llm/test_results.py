@@ -28,7 +28,7 @@ def test_query_equals_sql(spark, db, name):
 def test_registered():
     assert {*LLM_QUERIES, "pipeline"} <= queries().keys()
     assert LLM_ORACLE.items() <= oracle_sql().items()
-    assert sorted(int(name[2:].split("_")[0]) for name in LLM_QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in LLM_QUERIES) == list(range(1, 14))
 
 
 def run(spark, name):
