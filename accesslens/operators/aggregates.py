@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from accesslens.functions import chronological, error_rate, is_error
 from accesslens.schema import RESULT_ORDER, TOP_RESOURCES
-from accesslens.session import broadcast_if_small, stage
+from accesslens.session import broadcast_if_small, scratch_path, stage
 
 BATCH = ("batch_id",)
 
@@ -41,6 +41,15 @@ def daily_traffic(parsed: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def _resource_counts(parsed: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Requests and bytes per path, a row per path from every task."""
+    return (
+        parsed.groupBy(*by, "resource_path")
+        .agg(_requests().alias("request_count"), _bytes().alias("total_bytes"))
+        .where("request_count > 0")
+    )
+
+
 def _most_requested(totals: DataFrame, limit: int, by: Sequence[str]) -> DataFrame:
     """The first `limit` rows, of each `by` group if given.
 
@@ -60,20 +69,18 @@ def top_resources(
 
     Counts alone decide who is in, and they shrink to a row per path in every task.
     Only then are hosts counted, of those few paths, so that the large shuffle carries
-    their hosts instead of every pair of path and host. The lines are read twice: stage
-    them if they are costly to make. With a `path` the top counts are kept there and
-    joined by a size-checked broadcast, as runs do; without, or beyond its size, Spark plans
-    the join, which may shuffle path and host of all lines.
+    their hosts instead of every pair of path and host. The top counts are kept and joined
+    by a size-checked broadcast. The lines are read twice: with a `path`, which the top
+    counts are kept at, they should be staged already, as runs have them. Without, the four
+    columns are staged in the shared folder first, so that no line is parsed twice.
     """
     keys = [*by, "resource_path"]
-    counts = (
-        parsed.groupBy(*keys)
-        .agg(_requests().alias("request_count"), _bytes().alias("total_bytes"))
-        .where("request_count > 0")
-    )
-    top = _most_requested(counts, limit, by)
-    if path:
-        top = broadcast_if_small(stage(top, path))
+    if path is None:
+        spark = parsed.sparkSession
+        path = scratch_path(spark, "top-resources")
+        parsed = stage(parsed.select(*keys, "host", "bytes_transferred"), f"{path}-lines", spark)
+    counts = _resource_counts(parsed, by)
+    top = broadcast_if_small(stage(_most_requested(counts, limit, by), path))
     # The counts go along as grouping columns, so that `top` is worked out once.
     requests_to_top = parsed.select(*keys, "host").join(top, keys)
     return requests_to_top.groupBy(*keys, "request_count", "total_bytes").agg(

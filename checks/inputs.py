@@ -11,6 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from accesslens.functions.log_time import with_instants
 from accesslens.operators.parsing import parse_log_lines
 from accesslens.plans.run_etl import run_etl
 from accesslens.session import scratch_path, stage
@@ -76,6 +77,31 @@ def parsed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_log_lines(log_lines(spark, sf_dir))
 
 
+def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The valid lines with the instant of each."""
+    return with_instants(parsed_lines(spark, sf_dir)).where("is_valid")
+
+
+def zoned_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines in three time zones; every 41st has a day that no month has."""
+    line_no, line = F.col("line_no"), F.col("line")
+    zone = F.when(line_no % 3 == 0, F.lit(" -0730]")).when(line_no % 3 == 1, F.lit(" -0000]")).otherwise(F.lit(" -0400]"))
+    zoned = F.replace(line, F.lit(" -0400]"), zone)
+    nonsense = F.regexp_replace(zoned, r"\[\d\d/", "[45/")
+    return log_lines(spark, sf_dir).withColumn("line", F.when(line_no % 41 == 0, nonsense).otherwise(zoned))
+
+
+def lines_with_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines with parameters in their paths, out of the events' JSON: one repeated, one without a value."""
+    event_id, kind = F.col("event_id"), F.col("event_type")
+    number = F.from_json("props", "map<string,bigint>")["k"].cast("string")
+    again = F.when(event_id % 3 == 0, F.lit("&k=last")).otherwise(F.lit(""))
+    parameters = F.concat(F.lit("?k="), number, F.lit("&tag="), kind, F.lit("%20"), (event_id % 5).cast("string"), again, F.lit("&flag#k=0"))
+    events = table(spark, sf_dir, "events").select(event_id.alias("line_no"), parameters.alias("parameters"))
+    with_them = F.regexp_replace("line", r"(\"\S+ [^ \"]+)", F.concat(F.lit("$1"), F.col("parameters")))
+    return log_lines(spark, sf_dir).join(events, "line_no").select("line_no", with_them.alias("line"))
+
+
 def padded_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lines between tabs, blanks and control characters; every seventh is blank."""
     blank = F.lit("\t \x01")

@@ -228,7 +228,143 @@ def _row_counts(batch: str, shown: str) -> str:
     )
 
 
+_REQUESTS = f"""{_PARSED},
+requests AS (
+    SELECT *, strptime(regexp_extract(line, '\\[(\\S+) ', 1), '%d/%b/%Y:%H:%M:%S') + INTERVAL 4 HOUR AS requested_at
+    FROM parsed WHERE is_valid
+)"""
+
+
+def _requests(select: str) -> str:
+    return f"WITH {_REQUESTS}\n{select}"
+
+
+def _shown(instant: str) -> str:
+    return f"strftime({instant}, '%Y-%m-%d %H:%M:%S')"
+
+
+# Zones -0730, -0000 and -0400 by turns, and days that no month has.
+_ZONED = f"""{_PARSED},
+zoned AS (
+    SELECT line_no, is_valid,
+           CASE WHEN is_valid AND line_no % 41 <> 0 THEN
+               strptime(regexp_extract(line, '\\[(\\S+) ', 1), '%d/%b/%Y:%H:%M:%S')
+               + to_minutes(CASE line_no % 3 WHEN 0 THEN 450 WHEN 1 THEN 0 ELSE 240 END)
+           END AS requested_at
+    FROM parsed
+)"""
+
+
+def _visits(source: str, key: str, pause: int) -> str:
+    return f"""
+        marked AS (
+            SELECT *, coalesce(epoch(requested_at) - epoch(lag(requested_at) OVER w) > {pause}, true) AS begins
+            FROM {source} WINDOW w AS (PARTITION BY {key} ORDER BY requested_at)
+        ), visited AS (
+            SELECT *, sum(begins::INT) OVER (PARTITION BY {key} ORDER BY requested_at, begins DESC
+                                             ROWS UNBOUNDED PRECEDING)::BIGINT AS visit
+            FROM marked
+        )"""
+
+
+def _asof(by: str, later: str, most: str = "") -> str:
+    return f"""
+        , errors AS (
+            SELECT {by}, requested_at, max(line_no) AS error_line, arg_max(status_code, line_no) AS error_status
+            FROM requests WHERE {_FAILED} GROUP BY {by}, requested_at
+        ), found AS (
+            SELECT r.line_no, r.{by}, e.error_line, e.error_status,
+                   (epoch(r.requested_at) - epoch(e.requested_at))::BIGINT AS seconds_since
+            FROM requests r ASOF LEFT JOIN errors e ON r.{by} = e.{by} AND r.requested_at {later} e.requested_at
+        )
+        SELECT line_no, {by}, {", ".join(f"CASE WHEN true {most} THEN {c} END AS {c}" for c in ("error_line", "error_status", "seconds_since"))}
+        FROM found"""
+
+
+def _windows(hours: int, every: int, delay: str) -> str:
+    return f"""
+        SELECT {_shown("s")} AS window_start, count(*) AS request_count,
+               count(*) FILTER (WHERE {_FAILED}) AS error_count, s + INTERVAL {hours} HOUR <= passed AS closed
+        FROM (
+            SELECT *, time_bucket(INTERVAL {every} HOUR, requested_at) - to_hours(back) AS s
+            FROM requests, (SELECT unnest(range(0, {hours}, {every})) AS back)
+        ), (SELECT max(requested_at) - INTERVAL {delay} AS passed FROM requests)
+        GROUP BY s, passed"""
+
+
+_BATCHED = """
+        , batched AS (
+            SELECT by_count AS batch_id, host, bytes_transferred FROM parsed WHERE is_valid
+            UNION ALL SELECT 0, host, bytes_transferred FROM parsed WHERE is_valid
+        )"""
+
 ORACLE: dict[str, str] = {
+    "request_instants": f"""WITH {_ZONED}
+        SELECT line_no, {_shown("requested_at")} AS requested_at FROM zoned""",
+    "requests_by_hour": f"""WITH {_ZONED},
+        hours AS (SELECT date_trunc('hour', requested_at) AS h, count(*) AS n FROM zoned WHERE requested_at IS NOT NULL GROUP BY h),
+        every AS (SELECT unnest(generate_series((SELECT min(h) FROM hours), (SELECT max(h) FROM hours), INTERVAL 1 HOUR)) AS h)
+        SELECT {_shown("h")} AS hour, coalesce(n, 0) AS request_count FROM every LEFT JOIN hours USING (h)""",
+    "host_sessions": _requests(f"""
+        , {_visits("requests", "host", 1800)}
+        SELECT host, visit, {_shown("min(requested_at)")} AS started_at, {_shown("max(requested_at)")} AS ended_at,
+               count(*) AS requests, {_BYTES} AS total_bytes, count(*) FILTER (WHERE {_FAILED}) AS errors
+        FROM visited GROUP BY host, visit"""),
+    "asof_previous_error": _requests(_asof("resource_path", ">")),
+    "asof_recent_error_of_host": _requests(_asof("host", ">=", "AND seconds_since <= 172800")),
+    "errors_in_incidents": _requests(f"""
+        , broken AS (SELECT * FROM requests WHERE status_code >= 500), {_visits("broken", "resource_path", 21600)},
+        incidents AS (
+            SELECT resource_path AS path, visit, min(requested_at) AS started_at, max(requested_at) AS ended_at
+            FROM visited GROUP BY path, visit HAVING count(*) >= 3
+        )
+        SELECT path, visit, {_shown("i.started_at")} AS started_at, {_shown("i.ended_at")} AS ended_at,
+               count(*) AS request_count, count(*) FILTER (WHERE {_FAILED}) AS error_count,
+               count(DISTINCT host) AS distinct_hosts
+        FROM requests r JOIN incidents i ON r.requested_at BETWEEN i.started_at AND i.ended_at
+        GROUP BY path, visit, i.started_at, i.ended_at"""),
+    "stream_windowed_errors": _requests(_windows(1, 1, "2 HOUR")),
+    "stream_sliding_errors": _requests(_windows(6, 2, "1 DAY")),
+    "stream_first_seen_hosts": _requests(f"SELECT host, {_shown('min(requested_at)')} AS first_seen FROM requests GROUP BY host"),
+    "traffic_rollup": _parsed(f"""
+        SELECT log_date, status_code, CAST(grouping(log_date, status_code) AS INTEGER) AS level,
+               count(*) AS request_count, {_BYTES} AS total_bytes
+        FROM parsed WHERE is_valid GROUP BY CUBE (log_date, status_code)"""),
+    "status_by_day": _parsed(
+        "SELECT log_date, "
+        + ", ".join(f"count(*) FILTER (WHERE status_code // 100 = {n}) AS status_{n}xx" for n in range(1, 6))
+        + ", count(*) FILTER (WHERE status_code // 100 NOT BETWEEN 1 AND 5) AS other, count(*) AS request_count "
+        "FROM parsed WHERE is_valid GROUP BY log_date"
+    ),
+    "traffic_trend": _parsed(f"""
+        , daily AS (
+            SELECT resource_path, strptime(log_date, '%d/%b/%Y')::DATE AS d, count(*) AS request_count,
+                   count(*) FILTER (WHERE {_FAILED}) AS errors
+            FROM parsed WHERE is_valid GROUP BY ALL
+        )
+        SELECT resource_path, strftime(d, '%Y-%m-%d') AS day, request_count,
+               strftime(lag(d) OVER p, '%Y-%m-%d') AS previous_day, lag(request_count) OVER p AS previous_count,
+               request_count - lag(request_count) OVER p AS change,
+               (sum(request_count) OVER r)::BIGINT AS week_count, (sum(errors) OVER r)::BIGINT AS week_errors
+        FROM daily
+        WINDOW p AS (PARTITION BY resource_path ORDER BY d),
+               r AS (PARTITION BY resource_path ORDER BY d RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW)"""),
+    "approx_hosts": _parsed(_BATCHED + """
+        SELECT batch_id, count(*) AS requests, count(DISTINCT host) AS exact_hosts, true AS within
+        FROM batched GROUP BY batch_id"""),
+    "approx_bytes_quantiles": _parsed(_BATCHED + """
+        SELECT batch_id, quantile, count(bytes_transferred) AS sizes, true AS within
+        FROM batched, (SELECT unnest([0.5, 0.9, 0.99])::DOUBLE AS quantile)
+        WHERE bytes_transferred IS NOT NULL GROUP BY batch_id, quantile"""),
+    "query_parameters": _parsed("""
+        SELECT parameter, value, count(*) AS request_count, count(DISTINCT host) AS distinct_hosts
+        FROM (
+            SELECT host, unnest(['k', 'tag', 'flag']) AS parameter, unnest([
+                CASE WHEN line_no % 3 = 0 THEN 'last' ELSE json_extract_string(props, '$.k') END,
+                event_type || ' ' || (line_no % 5), '']) AS value
+            FROM parsed JOIN events ON event_id = line_no WHERE is_valid
+        )
+        GROUP BY parameter, value"""),
     "list_log_files": f"""
         SELECT DISTINCT CAST(event_id // {FILE_LINES} + 1 AS INTEGER) AS file_no,
                lpad(CAST(event_id // {FILE_LINES} AS VARCHAR), 9, '0') AS chunk

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from accesslens.functions import clean_bytes, error_rate, is_error
+from accesslens.functions.log_time import with_instants
+from accesslens.functions.parameters import query_parameters
 from accesslens.operators import run_history as history
 from accesslens.operators.aggregates import (
     BATCH,
@@ -17,6 +19,7 @@ from accesslens.operators.aggregates import (
     sorted_results,
     top_resources,
 )
+from accesslens.operators.asof import asof_join
 from accesslens.operators.batch_totals import (
     batch_metadata,
     malformed_samples,
@@ -24,7 +27,16 @@ from accesslens.operators.batch_totals import (
     run_totals,
 )
 from accesslens.operators.batching import batch_by_file, batch_by_record_count, number_lines
-from accesslens.operators.parsing import filter_valid, malformed_lines
+from accesslens.operators.intervals import in_intervals
+from accesslens.operators.parsing import filter_valid, malformed_lines, parse_log_lines
+from accesslens.operators.sketches import (
+    approx_bytes_quantiles,
+    approx_hosts,
+    merged_sketches,
+    traffic_sketches,
+)
+from accesslens.operators.trends import requests_by_hour, status_by_day, traffic_rollup, traffic_trend
+from accesslens.operators.visits import visits
 from accesslens.plans.reports import run_report
 from accesslens.schema import (
     BATCH_METADATA,
@@ -33,25 +45,29 @@ from accesslens.schema import (
     RUN_METADATA,
     TABLE_COLUMNS,
 )
-from accesslens.session import scratch_path
+from accesslens.session import scratch_path, stage
 from accesslens.sources import list_log_files, log_table_view, scan_log_text, trim_nonblank
+from accesslens.streaming.event_time import stream_first_seen_hosts, stream_windowed_errors
 from accesslens.tables import RunTables, export_run, export_tsv
 from checks.inputs import (
     BATCH_LINES,
     LOG_PREFIX,
     finished_run,
     latin_folder,
+    lines_with_parameters,
     log_folder,
     new_tables,
     padded_lines,
     parsed_lines,
     raw_sizes,
+    requests,
     run,
     run_history,
     scanned,
     staged_scan,
     stored_results,
     stored_rows,
+    zoned_lines,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -267,6 +283,159 @@ def sorted_results_(spark, sf):
     return sorted_results(hourly_errors(parsed_lines(spark, sf)), "query3")
 
 
+# -- events in time ----------------------------------------------------------
+
+
+def _shown(instant: str):
+    return F.date_format(instant, "yyyy-MM-dd HH:mm:ss").alias(instant)
+
+
+@register
+def request_instants(spark, sf):
+    """Zone offsets applied; days that no month has are NULL."""
+    zoned = with_instants(parse_log_lines(zoned_lines(spark, sf)))
+    return zoned.select("line_no", _shown("requested_at"))
+
+
+@register
+def requests_by_hour_(spark, sf):
+    zoned = with_instants(parse_log_lines(zoned_lines(spark, sf)))
+    return requests_by_hour(zoned).select(_shown("hour"), "request_count")
+
+
+@register
+def host_sessions(spark, sf):
+    failed = F.when(is_error(F.col("status_code")), 1).otherwise(0).cast("bigint")
+    size = F.coalesce("bytes_transferred", F.lit(0))
+    found = visits(requests(spark, sf), sums={"total_bytes": size, "errors": failed})
+    return found.select("host", "visit", _shown("started_at"), _shown("ended_at"), "requests", "total_bytes", "errors")
+
+
+def _asof_error(spark, sf, by, **options):
+    lines = requests(spark, sf)
+    errors = lines.where(is_error(F.col("status_code")))
+    errors = errors.select(by, "requested_at", F.col("line_no").alias("line"), F.col("status_code").alias("status"))
+    lines = lines.select("line_no", by, "requested_at")
+    found = asof_join(lines, errors, [by], "requested_at", ["line", "status"], "error_", **options)
+    since = F.unix_seconds("requested_at") - F.unix_seconds("error_requested_at")
+    return found.select("line_no", by, "error_line", "error_status", since.alias("seconds_since"))
+
+
+@register
+def asof_previous_error(spark, sf):
+    """Every request with the latest earlier error of its path."""
+    return _asof_error(spark, sf, "resource_path")
+
+
+@register
+def asof_recent_error_of_host(spark, sf):
+    """Every request with the latest error of its host, itself included, if within two days."""
+    return _asof_error(spark, sf, "host", exact=True, tolerance=2 * 86_400)
+
+
+@register
+def errors_in_incidents(spark, sf):
+    """What came while a path kept failing: three server errors or more, six hours apart at most."""
+    lines = requests(spark, sf).select("line_no", "host", "status_code", "resource_path", "requested_at")
+    broken = visits(lines.where("status_code >= 500"), ["resource_path"], pause=6 * 3600).where("requests >= 3")
+    broken = broken.select(F.col("resource_path").alias("path"), "visit", "started_at", "ended_at")
+    inside = in_intervals(
+        lines.drop("resource_path"), broken, "requested_at", "started_at", "ended_at", path=scratch_path(spark, "incidents")
+    )
+    return inside.groupBy("path", "visit", _shown("started_at"), _shown("ended_at")).agg(
+        F.count(F.lit(1)).alias("request_count"),
+        F.count_if(is_error(F.col("status_code"))).alias("error_count"),
+        F.count_distinct("host").alias("distinct_hosts"),
+    )
+
+
+def _windows(spark, sf, **options):
+    # All files at once: their order of arrival decides nothing, and no line is late.
+    found = stream_windowed_errors(
+        spark, log_folder(spark, sf), scratch_path(spark, "windows"), LOG_PREFIX, files_per_trigger=1_000_000, **options
+    )
+    return found.select(_shown("window_start"), "request_count", "error_count", "closed")
+
+
+@register
+def stream_windowed_errors_(spark, sf):
+    return _windows(spark, sf)
+
+
+@register
+def stream_sliding_errors(spark, sf):
+    return _windows(spark, sf, window="6 hours", slide="2 hours", delay="1 day")
+
+
+@register
+def stream_first_seen_hosts_(spark, sf):
+    found = stream_first_seen_hosts(spark, log_folder(spark, sf), scratch_path(spark, "hosts"), LOG_PREFIX, files_per_trigger=20)
+    return found.select("host", _shown("first_seen"))
+
+
+# -- totals, trends and sketches ---------------------------------------------
+
+
+@register
+def traffic_rollup_(spark, sf):
+    return traffic_rollup(parsed_lines(spark, sf))
+
+
+@register
+def status_by_day_(spark, sf):
+    return status_by_day(parsed_lines(spark, sf))
+
+
+@register
+def traffic_trend_(spark, sf):
+    found = traffic_trend(parsed_lines(spark, sf))
+    return found.withColumns({name: F.date_format(name, "yyyy-MM-dd") for name in ("day", "previous_day")})
+
+
+def _sketches(spark, sf):
+    """Sketches per batch, stored, and merged into one row (batch 0) without the lines."""
+    stored = stage(traffic_sketches(_batched(spark, sf)), scratch_path(spark, "sketches"), spark)
+    return stored.unionByName(merged_sketches(stored).withColumn("batch_id", F.lit(0)))
+
+
+def _batched_and_all(spark, sf):
+    lines = filter_valid(_batched(spark, sf)).select("batch_id", "host", "bytes_transferred")
+    return lines.unionByName(lines.withColumn("batch_id", F.lit(0)))
+
+
+@register
+def approx_hosts_(spark, sf):
+    """Estimates beside exact counts: within 5 %."""
+    exact = _batched_and_all(spark, sf).groupBy("batch_id").agg(F.count_distinct("host").alias("exact_hosts"))
+    both = approx_hosts(_sketches(spark, sf)).join(exact, "batch_id")
+    off = F.abs(F.col("distinct_hosts") - F.col("exact_hosts"))
+    return both.select("batch_id", "requests", "exact_hosts", (off <= 0.05 * F.col("exact_hosts")).alias("within"))
+
+
+@register
+def approx_bytes_quantiles_(spark, sf):
+    """Estimated quantiles against the ranks that the lines give them: within 2 %."""
+    found = approx_bytes_quantiles(_sketches(spark, sf))
+    ranked = _batched_and_all(spark, sf).where("bytes_transferred IS NOT NULL").join(found, "batch_id").groupBy("batch_id", "quantile", "size")
+    ranked = ranked.agg(
+        F.count(F.lit(1)).alias("sizes"),
+        F.count_if(F.col("bytes_transferred") < F.col("size")).alias("below"),
+        F.count_if(F.col("bytes_transferred") <= F.col("size")).alias("up_to"),
+    )
+    rank, room = F.col("quantile") * F.col("sizes"), 0.02 * F.col("sizes") + 1
+    within = (F.col("below") - room <= rank) & (rank <= F.col("up_to") + room)
+    return ranked.select("batch_id", "quantile", "sizes", within.alias("within"))
+
+
+@register
+def query_parameters_(spark, sf):
+    lines = filter_valid(parse_log_lines(lines_with_parameters(spark, sf)))
+    each = lines.select("host", F.explode(query_parameters(F.col("resource_path"))).alias("parameter", "value"))
+    return each.groupBy("parameter", "value").agg(
+        F.count(F.lit(1)).alias("request_count"), F.count_distinct("host").alias("distinct_hosts")
+    )
+
+
 # -- run history -------------------------------------------------------------
 
 
