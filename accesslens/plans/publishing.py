@@ -33,7 +33,7 @@ from accesslens.schema import (
     SAMPLE_LINES,
 )
 from accesslens.session import stage
-from accesslens.tables.run_tables import RunTables
+from accesslens.tables.run_tables import GENERATION, RunTables
 
 POSITION = ("file_no", "block_start", "scan_pos")
 
@@ -100,14 +100,11 @@ def publish(
     load_id: int = 0,
     every_batch: DataFrame | None = None,
     runtime: Callable[[], float] | None = None,
-    before: Callable[[], None] | None = None,
     sample_lines: int = SAMPLE_LINES,
 ) -> None:
     """Aggregate one load of batched, staged lines and publish it to the run tables.
 
-    All rows are worked out below the folder `work` first; only then does `before` run
-    (it may clear what the run stored earlier) and are they loaded, so a query that fails
-    costs no old result. `every_batch` names batches that may be empty, and `runtime`
+    All rows are worked out below the folder `work` first, and only then loaded. `every_batch` names batches that may be empty, and `runtime`
     tells the seconds that the load took, stored with each of its batches.
     """
     spark = tables.spark
@@ -130,8 +127,6 @@ def publish(
         rows[BATCH_METADATA] = metadata
 
     _at_once(spark, *[partial(work_out, name) for name in request.queries], work_out_batches)
-    if before is not None:
-        before()
     loads = [partial(tables.load_query_results, name, rows[name], run_id, load_id) for name in request.queries]
     _at_once(spark, *loads, partial(tables.load_malformed, rows[MALFORMED_SUMMARY], run_id, load_id))
     metadata = rows[BATCH_METADATA]
@@ -149,9 +144,9 @@ def _at_once(spark: SparkSession, *steps: Callable[[], None]) -> None:
             submitted.result()
 
 
-def record_run(tables: RunTables, request: RunRequest, run_id: int, seconds: float) -> None:
-    """Total the stored batches and write the run's row, last of all."""
-    totals = run_totals(tables.read(BATCH_METADATA, run_id))
+def record_run(tables: RunTables, request: RunRequest, run_id: int, seconds: float, generation: int = 0) -> None:
+    """Total the stored batches, write the run's row, and only then let an earlier generation go."""
+    totals = run_totals(tables.read_generation(BATCH_METADATA, run_id, generation))
     tables.write_run_record(
         totals.select(
             F.lit(request.pipeline).alias("pipeline_name"),
@@ -163,4 +158,6 @@ def record_run(tables: RunTables, request: RunRequest, run_id: int, seconds: flo
             F.current_timestamp().alias("execution_timestamp"),
         ),
         run_id,
+        generation * GENERATION,
     )
+    tables.end_generation(run_id, generation)

@@ -13,7 +13,7 @@ from accesslens.schema import ALL_QUERIES, FILE_BASED, RECORD_COUNT, SAMPLE_LINE
 from accesslens.session import delete_path, scratch_path
 from accesslens.sources.log_files import list_log_files, open_logs, scan_log_text, with_file_no
 from accesslens.streaming.file_batches import stream_file_batches
-from accesslens.tables.run_tables import RunTables
+from accesslens.tables.run_tables import GENERATION, RunTables
 
 
 def run_etl(
@@ -34,7 +34,8 @@ def run_etl(
     """Run the queries over the log files of a folder and store everything; returns the run id.
 
     The files are listed once: one that arrives later belongs to the next run. Running an
-    id again replaces what it stored before, once all new results are worked out.
+    id again loads the new results beside those stored before and switches over when all are
+    there: readers see the one or the other, and a run that fails leaves the old one as it was.
     `sample_lines` malformed lines of a batch are kept to look at. `checkpoint` and
     `files_per_trigger` are for the stream pipeline, see `stream_file_batches`.
     """
@@ -55,6 +56,7 @@ def run_etl(
     files = list_log_files(spark, folder, prefix, text)
     tables.init_tables()
     run_id = tables.reserve_run_id(run_id)
+    generation = tables.begin_generation(run_id)
 
     started = time.monotonic()
     work = scratch_path(spark, f"run-{run_id}")
@@ -74,11 +76,11 @@ def run_etl(
             request,
             run_id,
             f"{work}/results",
+            load_id=generation * GENERATION,
             every_batch=every_batch,
-            before=lambda: tables.delete_run(run_id),
             sample_lines=sample_lines,
         )
-        record_run(tables, request, run_id, time.monotonic() - started)
+        record_run(tables, request, run_id, time.monotonic() - started, generation)
     finally:
         delete_path(spark, work)
     return run_id

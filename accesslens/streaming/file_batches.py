@@ -11,7 +11,15 @@ from accesslens.operators.batch_totals import batch_metadata, malformed_summary
 from accesslens.operators.batching import batch_by_file
 from accesslens.plans.publishing import RunRequest, publish, record_run, stage_parsed
 from accesslens.schema import ALL_QUERIES, BATCH_METADATA, SAMPLE_LINES
-from accesslens.session import broadcast_if_small, delete_path, path_exists, scratch_path, stage
+from accesslens.session import (
+    broadcast_if_small,
+    create_file,
+    delete_path,
+    file_names,
+    path_exists,
+    scratch_path,
+    stage,
+)
 from accesslens.sources.log_files import (
     list_log_files,
     listing_by_scan_path,
@@ -19,7 +27,7 @@ from accesslens.sources.log_files import (
     open_text,
     with_file_no_of,
 )
-from accesslens.tables.run_tables import RunTables
+from accesslens.tables.run_tables import GENERATION, RunTables
 
 
 def stream_file_batches(
@@ -43,7 +51,9 @@ def stream_file_batches(
     failure overwrites itself.
 
     To resume a run, call again with its run_id and checkpoint, and with the same
-    `files_per_trigger`. A checkpoint that is not named is removed when the call ends.
+    `files_per_trigger`. A checkpoint that is not named is removed when the call ends. Running a
+    finished id again with a new checkpoint loads beside what it stored before, as `run_etl` does,
+    and readers are switched over when the last load is there.
     """
     request = RunRequest("stream", query)
     tables.init_tables()
@@ -54,9 +64,13 @@ def stream_file_batches(
     listing, progress = f"{checkpoint}/listing", f"{checkpoint}/progress"
     if path_exists(spark, progress):
         files = spark.read.parquet(listing)
+        generation = max(map(int, file_names(spark, f"{checkpoint}/generation")))
     else:
-        tables.delete_run(run_id)
+        generation = tables.begin_generation(run_id)
+        delete_path(spark, f"{checkpoint}/generation")
+        create_file(spark, f"{checkpoint}/generation/{generation}")
         files = stage(list_log_files(spark, folder, prefix), listing)
+    first_load = generation * GENERATION
     # Keyed and measured once for all micro-batches.
     named = broadcast_if_small(stage(listing_by_scan_path(files), f"{work}/listing"))
 
@@ -72,7 +86,7 @@ def stream_file_batches(
             request,
             run_id,
             f"{path}/results",
-            load_id=epoch + 1,
+            load_id=first_load + epoch + 1,
             runtime=lambda: round(time.monotonic() - started, 3),
             sample_lines=sample_lines,
         )
@@ -89,8 +103,8 @@ def stream_file_batches(
             .start()
         )
         stream.awaitTermination()
-        _load_empty_files(tables, files, run_id, f"{work}/empty-files")
-        record_run(tables, request, run_id, time.monotonic() - started)
+        _load_empty_files(tables, files, run_id, generation, f"{work}/empty-files")
+        record_run(tables, request, run_id, time.monotonic() - started, generation)
     finally:
         delete_path(spark, work)
         if not keep:
@@ -98,16 +112,17 @@ def stream_file_batches(
     return run_id
 
 
-def _load_empty_files(tables: RunTables, files: DataFrame, run_id: int, path: str) -> None:
+def _load_empty_files(tables: RunTables, files: DataFrame, run_id: int, generation: int, path: str) -> None:
     """Files without lines form no group in any micro-batch, yet they are batches of size 0."""
     spark = tables.spark
-    # Micro-batches load from 1 up; load 0 is ours and may hold an earlier try.
-    seen = tables.stored(BATCH_METADATA).where((F.col("run_id") == run_id) & (F.col("load_id") > 0))
+    # Micro-batches load from 1 up; load 0 of the generation is ours and may hold an earlier try.
+    own = generation * GENERATION
+    seen = tables.read_generation(BATCH_METADATA, run_id, generation).where(F.col("load_id") > own)
     batches = files.select(F.col("file_no").alias("batch_id"))
     absent = stage(batches.join(seen.select("batch_id"), "batch_id", "left_anti"), path)
     # An empty file takes no time.
     metadata = batch_metadata(spark.createDataFrame([], "batch_id int, host string"), absent)
     metadata = metadata.withColumn("batch_runtime_seconds", F.lit(0.0))
-    tables.load_batches(metadata, run_id)
+    tables.load_batches(metadata, run_id, own)
     no_samples = spark.createDataFrame([], "batch_id int, sample_lines array<string>")
-    tables.load_malformed(malformed_summary(metadata, no_samples), run_id)
+    tables.load_malformed(malformed_summary(metadata, no_samples), run_id, own)

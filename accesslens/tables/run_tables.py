@@ -5,6 +5,10 @@ micro-batch of a streaming run. Each load overwrites exactly its own partition,
 so doing it again changes nothing. Batches are not partitions: a run over 100 TB
 in batches of 500,000 lines has over a million of them. Rows lie sorted by
 batch_id instead, and parquet statistics skip to a batch.
+
+Running an id again loads a new generation of the run beside the old one: its load ids
+begin at a multiple of `GENERATION`. Readers see the generation that the run's row is
+of, so writing that row switches a run over, and only then does the old one go.
 """
 
 from __future__ import annotations
@@ -26,6 +30,8 @@ from accesslens.schema import (
 from accesslens.session import create_file, delete_path, file_names, make_folder
 
 PARTITIONS = "run_id INT, load_id INT"
+# Load ids of a generation, and so the most micro-batches of a run.
+GENERATION = 1 << 20
 _STATUS = "table_name string, status string"
 
 
@@ -99,6 +105,50 @@ class RunTables:
             self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS PARTITION ({spec})")
             self.spark.catalog.refreshTable(self.name(table))
 
+    # -- generations -------------------------------------------------------
+
+    def _generations(self, table: str) -> set[tuple[int, int]]:
+        """(run_id, generation) of all that a table holds; a pair per run, seldom two."""
+        parts = [F.regexp_extract("partition", rf"{name}=(\d+)", 1).cast("int") for name in ("run_id", "load_id")]
+        held = self._partitions(table).select(parts[0], F.floor(parts[1] / GENERATION).cast("int")).distinct()
+        return {(row[0], row[1]) for row in held.collect()}
+
+    def _current(self) -> dict[int, int]:
+        """The generation of each run that is complete."""
+        current: dict[int, int] = {}
+        for run_id, generation in self._generations(RUN_METADATA):
+            current[run_id] = max(generation, current.get(run_id, 0))
+        return current
+
+    def begin_generation(self, run_id: int) -> int:
+        """The number of a new generation of a run; what an earlier try of one left is removed.
+
+        The generation that readers see stays as it is until `end_generation`.
+        """
+        current = self._current().get(run_id)
+        self._drop_generations(run_id, current)
+        return 0 if current is None else current + 1
+
+    def end_generation(self, run_id: int, generation: int) -> None:
+        """Remove all other generations of a run, whose row is of this one now."""
+        self._drop_generations(run_id, generation)
+
+    def _drop_generations(self, run_id: int, kept: int | None) -> None:
+        # The run's row goes last: until then its results are hidden, not mixed with others.
+        for table in reversed(TABLE_COLUMNS):
+            if not any(held == run_id and generation != kept for held, generation in self._generations(table)):
+                continue
+            loads = self._partitions(table).where(F.col("partition").startswith(f"run_id={run_id}/"))
+            for row in loads.select(F.regexp_extract("partition", r"load_id=(\d+)", 1).cast("int")).collect():
+                if row[0] // GENERATION != kept:
+                    self._delete_partition(table, run_id, row[0])
+
+    def read_generation(self, table: str, run_id: int, generation: int) -> DataFrame:
+        """What one generation of a run stored, whether readers see it yet or not."""
+        first = generation * GENERATION
+        mine = (F.col("run_id") == int(run_id)) & F.col("load_id").between(first, first + GENERATION - 1)
+        return self.stored(table).where(mine).select("run_id", "load_id", *TABLE_COLUMNS[table].names)
+
     def _status(self, rows: Iterable[tuple[str, str]]) -> DataFrame:
         return self.spark.createDataFrame(list(rows), _STATUS)
 
@@ -130,9 +180,9 @@ class RunTables:
     def load_malformed(self, summary: DataFrame, run_id: int, load_id: int = 0) -> None:
         self.load(MALFORMED_SUMMARY, summary.orderBy("batch_id"), run_id, load_id)
 
-    def write_run_record(self, record: DataFrame, run_id: int) -> None:
-        """The one row of a run, written when its results are complete."""
-        self.load(RUN_METADATA, record, run_id)
+    def write_run_record(self, record: DataFrame, run_id: int, load_id: int = 0) -> None:
+        """The one row of a run, written when its results are complete; from then on readers see them."""
+        self.load(RUN_METADATA, record, run_id, load_id)
 
     def next_run_id(self) -> int:
         """One past the highest id that was ever reserved or is in use."""
@@ -168,10 +218,17 @@ class RunTables:
         return self.spark.table(self.name(table))
 
     def read(self, table: str, run_id: int | None = None) -> DataFrame:
-        """Stored rows with their run_id first; a run_id prunes to its partitions."""
-        rows = self.stored(table)
+        """Stored rows with their run_id first; a run_id prunes to its partitions.
+
+        Of a complete run only the generation that its row is of, also while it is run again.
+        """
+        rows, current = self.stored(table), self._current()
         if run_id is not None:
             rows = rows.where(F.col("run_id") == int(run_id))
+        for held, generation in self._generations(table):
+            if current.get(held, generation) != generation and run_id in (None, held):
+                loads = F.col("load_id").between(generation * GENERATION, (generation + 1) * GENERATION - 1)
+                rows = rows.where((F.col("run_id") != held) | ~loads)
         return rows.select("run_id", *TABLE_COLUMNS[table].names)
 
     def read_load(self, table: str, run_id: int, load_id: int) -> DataFrame:

@@ -365,3 +365,51 @@ def test_rows_lie_in_query_order(spark, tables, logs):
         placed = stored.select("*", "_metadata.file_path", "_metadata.row_index")
         keys = [key(r) for r in placed.orderBy("file_path", "row_index").collect()]
         assert keys and keys == sorted(keys)
+
+
+def test_readers_see_one_run_or_the_other_while_it_is_run_again(spark, tables, logs, monkeypatch):
+    run_etl(spark, tables, str(logs), prefix="access_", run_id=3)
+    old = {table: stored(tables, table, 3) for table in (*QUERY_TABLES.values(), BATCH_METADATA)}
+    seen = []
+    for name in ("load_batches", "write_run_record", "end_generation"):
+        step = getattr(tables, name)
+
+        def looked_at(*args, step=step, name=name):
+            step(*args)
+            seen.append((name, {table: stored(tables, table, 3) for table in old}, tables.runs().count()))
+
+        monkeypatch.setattr(tables, name, looked_at)
+    run_etl(spark, tables, str(logs), prefix="access_", run_id=3, batch_strategy="record_count", batch_size=500)
+    new = {table: stored(tables, table, 3) for table in old}
+    assert len(new[BATCH_METADATA]) == len(old[BATCH_METADATA]) and new != old
+    assert seen == [("load_batches", old, 1), ("write_run_record", new, 1), ("end_generation", new, 1)]
+    # Nothing of the old run is left in the folders either.
+    assert tables.stored(BATCH_METADATA).count() == 4
+    other = RunTables(spark, tables.root, tables.database + "_again")
+    other.init_tables()
+    assert {table: stored(other, table, 3) for table in old} == new
+
+
+@pytest.mark.parametrize("pipeline", ["dataframe", "stream"])
+def test_a_load_that_fails_leaves_the_old_run(spark, tables, logs, monkeypatch, pipeline):
+    run_etl(spark, tables, str(logs), prefix="access_", run_id=3)
+    everything = lambda: {table: stored(tables, table, 3) for table in TABLE_COLUMNS}
+    old, load = everything(), tables.load_malformed
+    for failing in ("load_malformed", "write_run_record"):
+        with monkeypatch.context() as broken:
+            broken.setattr(tables, failing, lambda *args: 1 / 0)
+            with pytest.raises(Exception, match="division|ZeroDivision"):
+                run_etl(spark, tables, str(logs), prefix="access_", run_id=3, pipeline=pipeline, query="query1")
+        assert everything() == old and len(tables.results([3])["query2"].collect()) == 60
+    assert load is not None
+    run_etl(spark, tables, str(logs), prefix="access_", run_id=3, pipeline=pipeline, query="query1")
+    assert tables.read(QUERY_TABLES["query2"], 3).count() == 0 and tables.read(QUERY_TABLES["query1"], 3).count() == 36
+    assert tables.stored(BATCH_METADATA).count() == 4
+
+
+def test_runs_side_by_side_are_read_each_by_their_generation(spark, tables, logs):
+    for run_id in (1, 2, 1):
+        run_etl(spark, tables, str(logs), prefix="access_", query="query3", run_id=run_id)
+    assert tables.runs().count() == 2
+    assert tables.read(BATCH_METADATA).count() == 8
+    assert tables.results()["query3"].count() == 2 * tables.read(QUERY_TABLES["query3"], 1).count()
