@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from accesslens.llm.text import filled, whole_rows, with_outputs
@@ -21,26 +22,50 @@ def hashed(*parts: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, DIGITS), 16, 10).cast("bigint")
 
 
-def poisson_distribution(mean: Column) -> Column:
-    """P(count <= k) for k = 0, 1, ... up to where a double no longer tells it from one.
+def log_factorial(k: Column) -> Column:
+    """ln k!, by the factorial itself as far as a bigint holds it and by Stirling's series beyond."""
+    x = k.cast("double")
+    exact = F.log(F.factorial(F.least(k, F.lit(20)).cast("int")).cast("double"))
+    rest = 1 / (12 * x) - 1 / (360 * F.pow(x, 3)) + 1 / (1260 * F.pow(x, 5)) - 1 / (1680 * F.pow(x, 7))
+    return F.when(k <= 20, exact).otherwise(x * F.log(x) - x + F.log(2 * math.pi * x) / 2 + rest)
 
-    The logarithms of the probabilities are summed, so that no mean underflows.
+
+def poisson_distributions(rates: DataFrame) -> DataFrame:
+    """(_source, _first, _cdf): P(count <= k) for k = `_first` and on, of each `_rate` above zero.
+
+    Only counts within twelve deviations of the mean, beyond which a double tells no probability
+    from zero or one: the rows made grow with the root of the rate, and are added up once.
     """
-    last = F.ceil(mean + 12 * F.sqrt(mean) + 24).cast("int")
-    start = F.struct((-mean).alias("logp"), F.array(F.exp(-mean)).alias("cdf"))
+    rate, k = F.col("_rate"), F.col("k")
+    width = 12 * F.sqrt(rate) + 24
+    band = F.sequence(F.greatest(F.floor(rate - width), F.lit(0)).cast("bigint"), F.ceil(rate + width).cast("bigint"))
+    terms = rates.where("_rate > 0").select("_source", "_rate", F.explode(band).alias("k"))
+    so_far = Window.partitionBy("_source").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
+    below = F.sum(F.exp(k * F.log(rate) - rate - log_factorial(k))).over(so_far)
+    terms = terms.select("_source", "k", below.alias("below"))
+    ordered = F.array_sort(F.collect_list(F.struct("k", "below")))["below"]
+    return terms.groupBy("_source").agg(F.min("k").alias("_first"), ordered.alias("_cdf"))
+
+
+def count_at(cdf: Column, u: Column) -> Column:
+    """How many entries of a rising array are not above `u`, by halving."""
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(cdf) + 1.0)).cast("int"))
 
-    def step(at: Column, k: Column) -> Column:
-        logp = at["logp"] + F.log(mean) - F.log(k.cast("double"))
-        total = F.element_at(at["cdf"], -1) + F.exp(logp)
-        return F.struct(logp.alias("logp"), F.concat(at["cdf"], F.array(total)).alias("cdf"))
+    def halved(at: Column, _: Column) -> Column:
+        middle = F.floor((at["low"] + at["high"]) / 2).cast("int")
+        inside = at["low"] < at["high"]
+        right = inside & (F.get(cdf, middle) <= u)
+        low = F.when(right, middle + 1).otherwise(at["low"])
+        high = F.when(inside & ~right, middle).otherwise(at["high"])
+        return F.struct(low.alias("low"), high.alias("high"))
 
-    return F.aggregate(F.sequence(F.lit(1), last), start, step)["cdf"]
+    return F.aggregate(steps, F.struct(F.lit(0).alias("low"), F.size(cdf).alias("high")), halved)["low"]
 
 
 def source_rates(
     docs: DataFrame, source: str = "source", weights: Mapping[str, float] | None = None, epochs: float = 1.0
 ) -> DataFrame:
-    """Per source (`_source`): documents, target repetition rate and its distribution.
+    """Per source (`_source`): documents, target repetition rate and its distribution from `_first` on.
 
     The mix has `epochs` times the input's documents on average. Without weights every source
     gets the same share. A source without a weight, null included, gets none.
@@ -57,8 +82,10 @@ def source_rates(
     totals = counts.agg(F.sum("_docs").alias("docs"), F.sum("_weight").alias("weights")).first()
     share = F.lit(float(epochs)) * F.col("_weight") * F.lit(totals["docs"]) / (F.lit(totals["weights"]) * F.col("_docs"))
     rated = counts.withColumn("_rate", F.when(F.col("_weight") > 0, share).otherwise(F.lit(0.0)))
-    cdf = F.when(F.col("_rate") > 0, poisson_distribution(F.col("_rate"))).otherwise(F.array(F.lit(1.0)))
-    return rated.select("_source", "_docs", "_rate", cdf.alias("_cdf"))
+    known = poisson_distributions(rated).withColumnRenamed("_source", "_of")
+    rated = rated.join(known, F.col("_source").eqNullSafe(F.col("_of")), "left")
+    first, cdf = F.coalesce("_first", F.lit(0)).cast("int"), F.coalesce("_cdf", F.array(F.lit(1.0)))
+    return rated.select("_source", "_docs", "_rate", first.alias("_first"), cdf.alias("_cdf"))
 
 
 def mix_sources(
@@ -90,7 +117,7 @@ def mix_sources(
     rows = whole_rows(docs)
     drawn = hashed(F.lit(seed), F.col("_row")[doc_id]) / F.lit(float(16**DIGITS))
     rows = rows.join(rates, F.col("_row")[source].eqNullSafe(F.col("_source")))
-    count = F.transform(F.array(drawn), lambda u: F.size(F.filter(F.col("_cdf"), lambda below: below <= u)))[0]
+    count = F.col("_first") + F.transform(F.array(drawn), lambda u: count_at(F.col("_cdf"), u))[0]
     rows = rows.select("_row", count.alias("n_copies"))
     rows = rows.where(F.col("n_copies") > 0).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n_copies"))))
     key = hashed(F.lit(seed), F.col("_row")[doc_id], F.col("copy"))

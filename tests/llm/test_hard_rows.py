@@ -1,5 +1,8 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables and clashing column names."""
 
+import math
+
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -249,6 +252,35 @@ def test_mixing_reaches_its_rates(spark):
     assert counts["large"] == pytest.approx(10_000, rel=0.05)
 
 
+def test_mixing_at_very_high_rates(spark):
+    """A source of three documents beside a large one: a million copies each, drawn in seconds."""
+    rows = spark.createDataFrame([(i, "tiny") for i in range(400)] + [(9_000, "large")], "doc_id long, source string")
+    rates = {r["_source"]: r for r in mixing.source_rates(rows, weights={"tiny": 1.0, "large": 1.0}, epochs=2e6).collect()}
+    assert rates["large"]["_rate"] == pytest.approx(401e6) and rates["tiny"]["_rate"] == pytest.approx(1_002_500)
+    for rate in rates.values():
+        cdf = np.array(rate["_cdf"])
+        assert len(cdf) < 24 * rate["_rate"] ** 0.5 + 60 and (np.diff(cdf) >= 0).all()
+        assert cdf[0] < 1e-9 and cdf[-1] == pytest.approx(1, abs=1e-6)
+        mean = rate["_first"] + (1 - cdf / cdf[-1]).sum()
+        assert mean == pytest.approx(rate["_rate"], rel=1e-4)
+    drawn = (F.col("doc_id") + 0.5) / 400
+    counts = spark.createDataFrame([rates["tiny"]], "_source string, _docs long, _rate double, _first int, _cdf array<double>")
+    counts = rows.where("source = 'tiny'").join(counts, F.col("source") == F.col("_source"))
+    found = [r[0] for r in counts.select(F.col("_first") + mixing.count_at(F.col("_cdf"), drawn)).collect()]
+    assert np.mean(found) == pytest.approx(1_002_500, rel=1e-4) and np.std(found) == pytest.approx(1_001, rel=0.05)
+
+
+@pytest.mark.parametrize("mean", [0.001, 0.7, 3.0, 30.0, 900.0])
+def test_poisson_distributions(spark, mean):
+    rates = spark.createDataFrame([("s", mean), (None, mean)], "_source string, _rate double")
+    for row in mixing.poisson_distributions(rates).collect():
+        below, k = 0.0, 0
+        for k in range(row["_first"] + len(row["_cdf"])):
+            below += math.exp(k * math.log(mean) - mean - math.lgamma(k + 1))
+            if k >= row["_first"]:
+                assert row["_cdf"][k - row["_first"]] == pytest.approx(below, abs=1e-12)
+
+
 LAYOUTS = [
     ('{"messages": [{"role": "user", "content": "a"}, {"content": null, "role": "assistant"}]}', "messages", [("user", "a"), ("assistant", "")]),
     ('{"conversations": [{"from": "human", "value": "a"}, {"from": "gpt", "value": "b"}]}', "shared", [("user", "a"), ("assistant", "b")]),
