@@ -42,6 +42,12 @@ QUERIES = (
     "compare_runs",
     "result_consistency",
     "result_diff",
+    "host_sessions",
+    "asof_previous_error",
+    "errors_in_incidents",
+    "traffic_rollup",
+    "traffic_trend",
+    "stream_windowed_errors",
 )
 # Strategy and pipeline of complete runs: listing, parsing, three queries, all tables.
 RUNS = {

@@ -311,8 +311,14 @@ def host_sessions(spark, sf):
     return found.select("host", "visit", _shown("started_at"), _shown("ended_at"), "requests", "total_bytes", "errors")
 
 
+def _staged_requests(spark, sf, *columns):
+    """Requests in time, parsed once for operators that read them more than once."""
+    lines = requests(spark, sf).select("line_no", "requested_at", *columns)
+    return stage(lines, scratch_path(spark, "requests"), spark)
+
+
 def _asof_error(spark, sf, by, **options):
-    lines = requests(spark, sf)
+    lines = _staged_requests(spark, sf, by, "status_code")
     errors = lines.where(is_error(F.col("status_code")))
     errors = errors.select(by, "requested_at", F.col("line_no").alias("line"), F.col("status_code").alias("status"))
     lines = lines.select("line_no", by, "requested_at")
@@ -336,7 +342,7 @@ def asof_recent_error_of_host(spark, sf):
 @register
 def errors_in_incidents(spark, sf):
     """What came while a path kept failing: three server errors or more, six hours apart at most."""
-    lines = requests(spark, sf).select("line_no", "host", "status_code", "resource_path", "requested_at")
+    lines = _staged_requests(spark, sf, "host", "status_code", "resource_path")
     broken = visits(lines.where("status_code >= 500"), ["resource_path"], pause=6 * 3600).where("requests >= 3")
     broken = broken.select(F.col("resource_path").alias("path"), "visit", "started_at", "ended_at")
     inside = in_intervals(
