@@ -104,36 +104,34 @@ def publish(
 ) -> None:
     """Aggregate one load of batched, staged lines and publish it to the run tables.
 
-    All rows are worked out below the folder `work` first, and only then loaded. `every_batch` names batches that may be empty, and `runtime`
-    tells the seconds that the load took, stored with each of its batches.
+    Everything is loaded as it is worked out; readers see it once the run's row says so. What is
+    read twice is kept below the folder `work`. `every_batch` names batches that may be empty, and
+    `runtime` tells the seconds that the load took, stored with each of its batches.
     """
     spark = tables.spark
-    rows: dict[str, DataFrame] = {}
+    metadata: list[DataFrame] = []
 
-    def work_out(name: str) -> None:
+    def load_query(name: str) -> None:
         if request.pipeline == "sql":
             result = run_sql(name, batched, f"{work}/top")
         elif name == "query2":
             result = top_resources(batched, by=BATCH, path=f"{work}/top")
         else:
             result = QUERIES[name](batched, by=BATCH)
-        rows[name] = stage(result, f"{work}/{name}", spark)
+        tables.load_query_results(name, result, run_id, load_id)
 
-    def work_out_batches() -> None:
-        metadata = stage(batch_metadata(batched, every_batch), f"{work}/batches", spark)
+    def load_malformed() -> None:
+        metadata.append(stage(batch_metadata(batched, every_batch), f"{work}/batches", spark))
         position = [c for c in POSITION if c in batched.columns]
         samples = malformed_samples(batched, position, sample_lines)
-        rows[MALFORMED_SUMMARY] = stage(malformed_summary(metadata, samples), f"{work}/malformed", spark)
-        rows[BATCH_METADATA] = metadata
+        tables.load_malformed(malformed_summary(metadata[0], samples), run_id, load_id)
 
-    _at_once(spark, *[partial(work_out, name) for name in request.queries], work_out_batches)
-    loads = [partial(tables.load_query_results, name, rows[name], run_id, load_id) for name in request.queries]
-    _at_once(spark, *loads, partial(tables.load_malformed, rows[MALFORMED_SUMMARY], run_id, load_id))
-    metadata = rows[BATCH_METADATA]
+    _at_once(spark, *[partial(load_query, name) for name in request.queries], load_malformed)
+    batches = metadata[0]
     if runtime is not None:
         # It covers the queries, so it can only be stored after them.
-        metadata = metadata.withColumn("batch_runtime_seconds", F.lit(runtime()))
-    tables.load_batches(metadata, run_id, load_id)
+        batches = batches.withColumn("batch_runtime_seconds", F.lit(runtime()))
+    tables.load_batches(batches, run_id, load_id)
 
 
 def _at_once(spark: SparkSession, *steps: Callable[[], None]) -> None:
