@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 from accesslens.llm.text import filled, whole_rows, with_outputs
 from accesslens.llm.tokens import ChunkIds
 
-# States, and pairs of tokens, that a worker remembers before it starts anew (some 250 MB); results do not change.
-STATES = 400_000
-PAIRS = 500_000
+# States, and pairs of tokens, that a worker remembers before it starts anew (some 200 MB); results do not change.
+STATES = 300_000
+PAIRS = 100_000
 ROOT = 0
 NOTHING = -1
 NODE_BITS = 24
@@ -75,7 +75,7 @@ class MergeTransducer:
             self.token_at[node] = rank
         # A reading at any other node cannot go on.
         self.inner = {step >> 8 for step in self.children}
-        self.agreeing: dict[tuple[int, int], bool] = {}
+        self.agreeing: dict[int, bool] = {}
         self.halves: dict[bytes, tuple[bytes, bytes] | None] = {}
         self.edges: dict[tuple[bytes, int], list[tuple[bytes, int]] | None] = {}
         self._forget()
@@ -136,11 +136,12 @@ class MergeTransducer:
 
     def agree(self, before: int, token: int) -> bool:
         """Whether merging gives back exactly these two neighbours (or the first token alone)."""
-        known = self.agreeing.get((before, token))
+        pair = before + 1 << TOKEN_BITS | token
+        known = self.agreeing.get(pair)
         if known is None:
             if len(self.agreeing) >= PAIRS:
                 self.agreeing.clear()
-            known = self.agreeing[before, token] = self._agree(before, token)
+            known = self.agreeing[pair] = self._agree(before, token)
         return known
 
     def _agree(self, before: int, token: int) -> bool:
