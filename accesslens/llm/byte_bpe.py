@@ -31,6 +31,8 @@ PAIRS = 100_000
 ROOT = 0
 NOTHING = -1
 NODE_BITS = 24
+# Bytes at the start of a piece that are read in one step.
+HEAD = 4
 NODES = (1 << NODE_BITS) - 1
 TOKEN_BITS = 20
 TOKENS = (1 << TOKEN_BITS) - 1
@@ -85,6 +87,8 @@ class MergeTransducer:
         self.number_of: dict[tuple[int, ...], int] = {}
         self.steps: dict[int, tuple[int, tuple[int, ...]]] = {}
         self.ends: dict[int, list[int]] = {}
+        # What the first bytes of pieces lead to: one step instead of several.
+        self.begins: dict[bytes, tuple[int, list[int]]] = {}
         self.start = self._number((NOTHING, ROOT))
 
     def _number(self, state: tuple[int, ...]) -> int:
@@ -202,20 +206,32 @@ class MergeTransducer:
         reached = self.steps[number << 8 | byte] = self._number(state), emitted
         return reached
 
-    def encode(self, piece: bytes) -> list[int]:
-        """The ids of one match of the splitting pattern; one that is a token by itself is that token."""
-        whole = self.ranks.get(piece)
-        if whole is not None:
-            return [whole]
+    def _read(self, state: int, data: bytes) -> tuple[int, list[int]]:
+        """The state after some bytes, and the tokens emitted on the way."""
         found: list[int] = []
-        state, known = self.start, self.steps.get
-        for byte in piece:
+        known = self.steps.get
+        for byte in data:
             step = known(state << 8 | byte)
             if step is None:
                 step, known = self._determinise(state, byte), self.steps.get
             state, emitted = step
             if emitted:
                 found += emitted
+        return state, found
+
+    def encode(self, piece: bytes) -> list[int]:
+        """The ids of one match of the splitting pattern; one that is a token by itself is that token."""
+        whole = self.ranks.get(piece)
+        if whole is not None:
+            return [whole]
+        begun = self.begins.get(piece[:HEAD])
+        if begun is None:
+            begun = self._read(self.start, piece[:HEAD])
+            self.begins[piece[:HEAD]] = begun
+        state, found = begun
+        if len(piece) > HEAD:
+            state, more = self._read(state, piece[HEAD:])
+            found = found + more
         left = self.ends.get(state)
         if left is None:
             # Every prefix has one complete reading: the one that is back at the root.
@@ -395,7 +411,11 @@ def token_text(ids: Column, path: str, pattern: str) -> Column:
 
     @F.pandas_udf("string")
     def of(many: pd.Series) -> pd.Series:
-        return pd.Series([None if one is None else byte_bpe(path, pattern).text(one) for one in many], dtype="object")
+        gc.disable()
+        try:
+            return pd.Series([None if one is None else byte_bpe(path, pattern).text(one) for one in many], dtype="object")
+        finally:
+            gc.enable()
 
     return of(ids)
 
