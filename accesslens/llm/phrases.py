@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,7 +17,7 @@ from accesslens.llm.text import filled
 from accesslens.session import scratch_path, stage
 
 HASHES = 64
-# A dictionary of so many phrases starts anew, so that a text of any length fits into memory.
+# So many phrases are kept in a dictionary; older ones in sorted arrays, which take far less memory.
 DICTIONARY = 1 << 18
 MULTIPLIER = 0x9E3779B97F4A7C15
 # The share of a text that an edit replaces: a quarter.
@@ -26,34 +27,55 @@ EDITED = 4
 class PhraseParser:
     """Parses bytes into phrases: each is the longest known one and the byte that makes it new.
 
-    A phrase is its number times 256. `children` has the number of the phrase that a phrase and a
-    byte make, in the order they were found, so its keys spell all phrases.
+    A phrase is its number, from 1 in the order they were found, times 256; a step is a phrase and
+    the byte that follows. `children` has the phrases that recent steps make. When it is full its
+    steps are merged into `steps`, sorted, with the phrases that they make in `made`, so that no
+    phrase is ever forgotten. `found` has those steps in the order they were found.
     """
 
     def __init__(self):
         self.children: dict[int, int] = {}
         self.phrase = 0
-        self.full: list[np.ndarray] = []
+        self.found: list[np.ndarray] = []
+        self.steps = self.made = np.zeros(0, np.int64)
 
     def copy(self) -> PhraseParser:
         twin = PhraseParser()
-        twin.children, twin.phrase, twin.full = self.children.copy(), self.phrase, self.full.copy()
+        twin.children, twin.phrase, twin.found = self.children.copy(), self.phrase, self.found.copy()
+        twin.steps, twin.made = self.steps, self.made
         return twin
 
+    def _settle(self) -> None:
+        """Moves the dictionary into the sorted arrays."""
+        n = len(self.children)
+        self.found.append(np.fromiter(self.children, np.int64, n))
+        steps = np.concatenate((self.steps, self.found[-1]))
+        order = np.argsort(steps, kind="stable")
+        made = np.concatenate((self.made, np.fromiter(self.children.values(), np.int64, n)))
+        self.steps, self.made = steps[order], made[order]
+        self.children.clear()
+
     def feed(self, data: bytes) -> PhraseParser:
-        phrase, children, most = self.phrase, self.children, DICTIONARY << 8
-        get, number = children.get, len(children) << 8
+        phrase, children = self.phrase, self.children
+        get, number = children.get, len(self.steps) + len(children) << 8
+        full = len(self.steps) + DICTIONARY << 8
+        steps, made, older = memoryview(self.steps), memoryview(self.made), len(self.steps)
         for byte in data:
             step = phrase | byte
             phrase = get(step)
             if phrase is None:
+                if older:
+                    at = bisect_left(steps, step)
+                    if at < older and steps[at] == step:
+                        phrase = made[at]
+                        continue
                 number += 256
                 children[step] = number
                 phrase = 0
-                if number == most:
-                    self.full.append(self._least())
-                    children.clear()
-                    number = 0
+                if number == full:
+                    self._settle()
+                    steps, made, older = memoryview(self.steps), memoryview(self.made), len(self.steps)
+                    full = number + (DICTIONARY << 8)
         self.phrase = phrase
         return self
 
@@ -62,8 +84,8 @@ class PhraseParser:
 
         value = factor * (value of `before`) + rest; every round puts twice as many bytes into it.
         """
-        n = len(self.children)
-        steps = np.fromiter(self.children, np.int64, n)
+        steps = np.concatenate([*self.found, np.fromiter(self.children, np.int64, len(self.children))])
+        n = len(steps)
         before = np.concatenate(([0], steps >> 8))
         factor, rest = np.full(n + 1, MULTIPLIER, np.uint64), np.zeros(n + 1, np.uint64)
         factor[0], rest[1:] = 1, (steps & 255) + 1
@@ -73,16 +95,13 @@ class PhraseParser:
             before = before[before]
         return rest[1:]
 
-    def _least(self) -> np.ndarray:
+    def signature(self) -> np.ndarray:
+        """The smallest hashes of all phrases, in order."""
         mixed = self._hashes()
         for shift, factor in ((33, 0xFF51AFD7ED558CCD), (33, 0xC4CEB9FE1A85EC53)):
             mixed = (mixed ^ (mixed >> np.uint64(shift))) * np.uint64(factor)
         return np.unique((mixed >> np.uint64(32)).astype(np.uint32))[:HASHES]
 
-    def signature(self) -> np.ndarray:
-        """The smallest hashes of all phrases, in order."""
-        return np.unique(np.concatenate([*self.full, self._least()]))[:HASHES] if self.full else self._least()
-
 
 def phrase_signature(text: str) -> np.ndarray:
     return PhraseParser().feed(text.encode()).signature()

@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 
@@ -41,7 +42,7 @@ def line_fails(line):
     return (
         symbols > 0.1 * chars
         or (marks >= 3 and marks * 4 >= len(parts))
-        or (len(parts) >= 40 and not re.search("[.!?,;:]", line))
+        or (len(parts) >= 40 and not any(c in ".!?,;:" or c > "\x7f" and unicodedata.category(c) == "Po" for c in line))
         or (len(parts) <= 25 and re.search(boilerplate, line, re.IGNORECASE | re.ASCII) is not None)
     )
 
@@ -171,6 +172,62 @@ def phrases(data):
     return known
 
 
+def phrase_signature(data):
+    """The 64 least hashes of the phrases: base-M numbers of the bytes plus one, mixed, their upper halves."""
+    found = set()
+    for phrase in phrases(data):
+        h = 0
+        for byte in phrase:
+            h = (h * 0x9E3779B97F4A7C15 + byte + 1) % 2**64
+        for factor in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+            h = (h ^ h >> 33) * factor % 2**64
+        found.add(h >> 32)
+    return sorted(found)[:64]
+
+
+def alike(one, other):
+    """The share of the least hashes of both signatures that both have."""
+    union = sorted({*one, *other})[:64]
+    return sum(h in one and h in other for h in union) / len(union) if union else 1.0
+
+
+def grams(text):
+    """The 400 most frequent n-grams, up to three signs, of the letters of a text; ties by last sign first."""
+    words = "".join(c if c.isalpha() else " " for c in (text or "").lower()).split(" ")
+    counts = Counter()
+    for word in filter(None, words):
+        counts.update(word)
+        for n in (2, 3):
+            counts.update(f" {word} "[i : i + n] for i in range(len(word) + 3 - n))
+    return counts
+
+
+def ranked(counts):
+    return sorted(counts, key=lambda gram: (-counts[gram], [0] * (3 - len(gram)) + [ord(c) for c in gram[::-1]]))[:400]
+
+
+def languages(docs):
+    """[(text, lang)] -> {lang: {n-gram: rank}}"""
+    counts = defaultdict(Counter)
+    for text, lang in docs:
+        if text is not None and lang is not None:
+            counts[lang].update(grams(text))
+    return {lang: {gram: i for i, gram in enumerate(ranked(own))} for lang, own in counts.items() if own}
+
+
+def language(text, profiles):
+    """(lang, score) by out-of-place distance."""
+    mine = ranked(grams(text))
+    if not mine or not profiles:
+        return "und", 0.0
+    cost = {
+        lang: sum(abs(i - ranks[gram]) if gram in ranks else 400 for i, gram in enumerate(mine))
+        for lang, ranks in profiles.items()
+    }
+    best = min(sorted(cost), key=cost.get)
+    return best, 1 - cost[best] / (400 * len(mine))
+
+
 def _kept(n):
     """Discounted counts by Katz's formula, or from a fitted line; by n[r], r from 1 to 6."""
     for fitted in (False, True):

@@ -43,6 +43,11 @@ def test_language(spark, documents):
     assert all(row.held_out == held(key) and 0 <= row.score <= 1 for key, row in rows.items())
     right = [rows[key].lang_pred == lang for key, lang in langs.items() if held(key)]
     assert len(right) > 20 and np.mean(right) > 0.95
+    texts = {row.doc_id: row.text for row in documents.collect()}
+    profiles = brute.languages((texts[key], lang) for key, lang in langs.items() if not held(key))
+    for key, text in texts.items():
+        lang, score = brute.language(text, profiles)
+        assert (rows[key].lang_pred, rows[key].score) == (lang, pytest.approx(score, abs=1e-12))
 
 
 def test_suffix_dedup(spark, texts):
@@ -85,11 +90,13 @@ def test_phrases(spark, texts):
         row = rows[key]
         assert (row.n_chars, row.edited_sha256) == (n, brute.sha(edited))
         for shown, whole in ((row.fingerprint, text), (row.edited_fingerprint, edited)):
-            assert shown == phrases.shown(phrases.phrase_signature(whole))
+            assert [*phrases.read(shown).tolist()] == brute.phrase_signature(whole.encode())
         sets = [brute.phrases(one.encode()) for one in (text, edited, following)]
-        for near, other in ((row.near_edited, sets[1]), (row.near_next, sets[2])):
-            exact = len(sets[0] & other) / max(1, len(sets[0] | other))
-            assert 0 <= near <= 1 and abs(near - exact) < 0.3
+        least = [brute.phrase_signature(one.encode()) for one in (text, edited, following)]
+        for near, i in ((row.near_edited, 1), (row.near_next, 2)):
+            assert near == pytest.approx(brute.alike(least[0], least[i]))
+            exact = len(sets[0] & sets[i]) / max(1, len(sets[0] | sets[i]))
+            assert abs(near - exact) < 0.3
     assert np.mean([row.near_edited - row.near_next for row in rows.values()]) > 0.3
 
 
