@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -13,7 +14,7 @@ from pyspark.sql import types as T
 
 from accesslens.llm.components import components
 from accesslens.llm.text import filled, whole_rows, with_outputs
-from accesslens.session import scratch_path, stage
+from accesslens.session import broadcast_if_small, scratch_path, stage
 
 SHINGLE_WORDS = 3
 SEED = 42
@@ -21,7 +22,12 @@ MOST_BITS = 2
 BYTES = 8
 # Each differing bit can spoil one byte: so many positional bytes are shared for certain.
 SHARED_BYTES = BYTES - MOST_BITS
-# Up to this many members of a posting are compared pair by pair.
+# A posting is keyed by so many of them, and a pair that shares bytes for certain shares so many postings.
+KEY_BYTES = 4
+SHARED_POSTINGS = comb(SHARED_BYTES, KEY_BYTES)
+# Pairs of a posting are tallied up to so many members; in longer ones links are looked up.
+MOST_TALLIED = 32
+# Up to this many members of a posting are compared pair by pair where links are looked up.
 PAIRWISE = 64
 # Shingles whose bits are counted at a time.
 SLICE = 1 << 16
@@ -62,27 +68,40 @@ def _signed(bits: int) -> int:
     return bits - 2**64 if bits >= 2**63 else bits
 
 
-def postings(prints: DataFrame) -> DataFrame:
-    """(choice, shared, fp): each fingerprint under every choice of shared positional bytes.
-
-    Two fingerprints within `MOST_BITS` bits have at least `SHARED_BYTES` bytes in common at
-    the same places, and so at least one of the 28 postings keyed by that many positions and
-    their bytes. With one byte per key a list would hold a 256th of all documents; here it
-    holds fingerprints that differ in two bytes only: never more than 65,536.
-    """
+def postings(prints: DataFrame, key_bytes: int = KEY_BYTES) -> DataFrame:
+    """(choice, shared, fp): each fingerprint under every choice of `key_bytes` positional bytes."""
     keys = []
-    for choice, skipped in enumerate(combinations(range(BYTES), MOST_BITS)):
-        kept = (2**64 - 1) ^ sum(0xFF << (8 * i) for i in skipped)
+    for choice, places in enumerate(combinations(range(BYTES), key_bytes)):
+        kept = sum(0xFF << (8 * i) for i in places)
         shared = F.col("fp").bitwiseAND(F.lit(_signed(kept)).cast("bigint"))
         keys.append(F.struct(F.lit(choice).cast("tinyint").alias("choice"), shared.alias("shared")))
     return prints.select("fp", F.explode(F.array(*keys)).alias("key")).select("key.choice", "key.shared", "fp")
 
 
+def _lists(keyed: DataFrame) -> DataFrame:
+    """(members): the postings that hold more than one fingerprint."""
+    lists = keyed.groupBy("choice", "shared").agg(F.sort_array(F.collect_list("fp")).alias("members"))
+    return lists.where(F.size("members") > 1).select("members")
+
+
+def tallied_links(keyed: DataFrame) -> DataFrame:
+    """(a, b): fingerprints within `MOST_BITS` bits that share enough postings.
+
+    Two fingerprints within that many bits have at least `SHARED_BYTES` bytes in common at the
+    same places, and so at least `SHARED_POSTINGS` postings. Pairs below that count go; the bits of
+    those that reach it are verified.
+    """
+    members, size = F.col("members"), F.size("members")
+    others = lambda a, i: F.slice(members, i + 2, size)
+    pairs = F.transform(members, lambda a, i: F.transform(others(a, i), lambda b: F.struct(a.alias("a"), b.alias("b"))))
+    met = _lists(keyed).select(F.explode(F.flatten(pairs)).alias("pair")).select("pair.a", "pair.b")
+    enough = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("tally")).where(F.col("tally") >= SHARED_POSTINGS)
+    return enough.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= MOST_BITS).select("a", "b")
+
+
 def _pairwise_least(prints: np.ndarray) -> np.ndarray:
     """For each of a few fingerprints the place of the least one it is linked with in the list."""
-    parts = prints.view(np.uint8).reshape(-1, BYTES)
-    tally = (parts[:, None, :] == parts[None, :, :]).sum(axis=2)
-    near = (tally >= SHARED_BYTES) & (np.bitwise_count(prints[:, None] ^ prints[None, :]) <= MOST_BITS)
+    near = np.bitwise_count(prints[:, None] ^ prints[None, :]) <= MOST_BITS
     least = np.arange(len(prints))
     while True:
         lower = np.where(near, least[None, :], len(prints)).min(axis=1)
@@ -136,11 +155,31 @@ def posting_links(members: pd.Series) -> pd.Series:
     return pd.Series([[{"a": a, "b": b} for a, b in _links_in(np.asarray(one))] for one in members])
 
 
-def link_components(prints: DataFrame, folder: str) -> DataFrame:
-    """(a, b): fingerprints `a` that are linked to others, with the least `b` of their component."""
-    lists = postings(prints).groupBy("choice", "shared").agg(F.collect_list("fp").alias("members"))
-    links = lists.where(F.size("members") > 1).select(F.explode(posting_links("members")).alias("link"))
-    return components(links.select("link.a", "link.b"), folder)
+def looked_up_links(prints: DataFrame) -> DataFrame:
+    """(a, b): the same links up to their transitive closure, looked up instead of tallied.
+
+    Keys are all `SHARED_BYTES` bytes that two such fingerprints share, so the members of a list
+    differ in two bytes only and are never more than 65,536.
+    """
+    lists = _lists(postings(prints, SHARED_BYTES))
+    return lists.select(F.explode(posting_links("members")).alias("link")).select("link.a", "link.b")
+
+
+def link_components(prints: DataFrame, folder: str, most_tallied: int = MOST_TALLIED) -> DataFrame:
+    """(a, b): fingerprints `a` that are linked to others, with the least `b` of their component.
+
+    Postings are counted first. Where more than `most_tallied` fingerprints share one, their pairs
+    would be too many: those fingerprints are looked up among each other, and the posting takes no
+    part in the tally. A linked pair shares a long posting, and is found there, or none, and then
+    its tally is whole: no link is lost.
+    """
+    keyed = postings(prints)
+    counts = keyed.groupBy("choice", "shared").agg(F.count(F.lit(1)).alias("n"))
+    long = stage(counts.where(F.col("n") > most_tallied).select("choice", "shared"), f"{folder}/long")
+    long = broadcast_if_small(long)
+    tallied = tallied_links(keyed.join(long, ["choice", "shared"], "left_anti"))
+    crowded = keyed.join(long, ["choice", "shared"], "left_semi").select("fp").distinct()
+    return components(tallied.unionByName(looked_up_links(crowded)), folder)
 
 
 def _classes(rows: DataFrame, folder: str) -> DataFrame:
