@@ -12,8 +12,6 @@ from pyspark.sql import functions as F
 from accesslens.llm.text import filled, whole_rows, with_outputs
 
 TURNS = "array<struct<role:string,text:string>>"
-# Spark reads no JSON string of 20 million characters and no record of 128 MiB; below this it may say null.
-LARGE = 1 << 24
 SCALAR = r": (?!OBJECT<|ARRAY<)[A-Z_]+(\([0-9, ]*\))?"
 
 # Marks around a turn by role; any other role is written as [ROLE:name] text [/ROLE].
@@ -92,7 +90,11 @@ LAYOUTS = (
 
 
 def canonical_turns(
-    records: DataFrame, record: str = "record", layouts: Sequence[Layout] = LAYOUTS, texts: str | None = None
+    records: DataFrame,
+    record: str = "record",
+    layouts: Sequence[Layout] = LAYOUTS,
+    texts: str | None = None,
+    strict: bool = False,
 ) -> DataFrame:
     """Every input row with the fingerprint of its JSON record, its layout and its turns.
 
@@ -103,12 +105,12 @@ def canonical_turns(
     are converted alike; an empty table gives an empty result; an input column named like an
     added one is replaced. Nothing is shuffled.
 
-    With `texts`, an array column, the texts in a record are their places in that array. A record of
-    `LARGE` bytes or more that is malformed, or beyond what Spark parses, fails the job.
+    With `texts`, an array column, the texts in a record are their places in that array. Spark parses
+    no JSON string of 20 million characters and no record of 128 MiB: such a record counts as
+    malformed. With `strict` a malformed record of any size fails the job instead.
     """
     source = F.col("_row")[record]
-    parsed = F.when(F.octet_length(source) >= LARGE, F.parse_json(source)).otherwise(F.try_parse_json(source))
-    rows = whole_rows(records).withColumn("_record", parsed)
+    rows = whole_rows(records).withColumn("_record", (F.parse_json if strict else F.try_parse_json)(source))
     shape = F.regexp_replace(F.schema_of_variant("_record"), SCALAR, "")
     rows = rows.withColumn("_fingerprint", F.when(F.col("_record").isNotNull(), F.sha2(shape, 256)))
     name, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS)

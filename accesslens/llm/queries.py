@@ -65,7 +65,7 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     trap = spark.createDataFrame([(-1, 0, "user", TRAP), (-1, 1, "assistant", TRAP)], rows.schema)
     records = gather_records(rows.unionByName(trap), texts="texts")
-    chats = format_chat(canonical_turns(records, texts="texts").drop("texts"))
+    chats = format_chat(canonical_turns(records, texts="texts", strict=True).drop("texts"))
     chats = chats.withColumns(
         {"_turns": read_turns(F.col("formatted")), "_learned": learned_text(F.col("pieces"))}
     )

@@ -27,7 +27,18 @@ def test_a_very_long_turn(spark, tmp_path):
     assert [found[key].loss_chars for key in (1, 2)] == [LONG, 0]
 
 
-def test_a_record_too_large_to_parse_fails(spark):
+@pytest.mark.parametrize("length", [3, LONG])
+def test_malformed_records_of_any_size_are_treated_alike(spark, length):
+    said = F.concat(F.lit('{"prompt": "'), F.expr(f"repeat('x', {length})"), F.lit('", "response": '))
+    records = spark.range(1).select(said.alias("record"))
+    assert chat.canonical_turns(records).select("layout", "turns", "fingerprint").collect() == [(None, None, None)]
+    with pytest.raises(Exception, match="(?i)malformed|json|variant"):
+        chat.canonical_turns(records, strict=True).select("layout").collect()
+
+
+def test_a_record_too_large_to_parse_counts_as_malformed(spark):
     text = F.concat(F.lit('{"prompt": "'), F.expr(f"repeat('x', {LONG})"), F.lit('", "response": ""}'))
+    records = spark.range(1).select(text.alias("record"))
+    assert chat.canonical_turns(records).select("layout", "turns").collect() == [(None, None)]
     with pytest.raises(Exception, match="(?i)malformed|json|variant"):
-        chat.canonical_turns(spark.range(1).select(text.alias("record"))).select("layout").collect()
+        chat.canonical_turns(records, strict=True).select("layout").collect()
