@@ -9,7 +9,8 @@ from accesslens.llm.text import WORD, filled, held, whole_rows, with_outputs, wo
 
 SYMBOLS = "[#*$%&|<>]"
 SEPARATORS = ("|", ">", "/", "-")
-PUNCTUATION = "[.!?,;:]"
+# Marks of sentences and clauses, of other scripts too.
+PUNCTUATION = r"[.!?,;:]|(?=[^\x00-\x7F])\p{Po}"
 BOILERPLATE = (
     "(?i)(all rights reserved|cookie policy|privacy policy|terms of use|terms of service"
     "|enable javascript|javascript is disabled|click here|skip to content|sign up for"

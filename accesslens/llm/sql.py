@@ -49,6 +49,7 @@ WITH docs AS (
         symbols > 0.1::DOUBLE * chars
         OR marks >= 3 AND marks * 4 >= n
         OR n >= 40 AND NOT regexp_matches(line, '[.!?,;:]')
+            AND NOT regexp_matches(regexp_replace(line, '[\x00-\x7F]+', '', 'g'), '\p{{Po}}')
         OR n <= 25 AND regexp_matches(line, '(?i)(all rights reserved|cookie policy|privacy policy|terms of use|terms of service|enable javascript|javascript is disabled|click here|skip to content|sign up for|log in to|subscribe to our)')
     ) AS fails
     FROM marked

@@ -162,6 +162,43 @@ def test_long_postings_link_like_short_ones():
         assert all((m == r) or r in root for m, r in root.items())
 
 
+@pytest.mark.parametrize("most_tallied", [1, 2, 5, 1_000])
+def test_tallied_and_looked_up_links_are_all_links(spark, tmp_path, most_tallied):
+    """Crowds of prints that share bytes, chains of links, and prints that share six bytes but not enough bits."""
+    rng = np.random.default_rng(11)
+    known = {int(p) for p in rng.integers(0, 2**62, 40)}
+    for centre in list(known)[:12]:
+        for _ in range(12):
+            flips = rng.choice(64, rng.integers(1, 5), replace=False)
+            known.add(centre ^ sum(1 << int(bit) for bit in flips))
+            known.add(centre ^ int(rng.integers(0, 2**16)))
+    known = sorted(p - 2**64 if p >= 2**63 else p for p in known)
+    root = {p: p for p in known}
+
+    def find(p):
+        while root[p] != p:
+            p = root[p]
+        return p
+
+    pairs = {(b, a) for i, a in enumerate(known) for b in known[:i] if ((a ^ b) % 2**64).bit_count() <= 2}
+    for low, high in sorted(pairs):
+        one, other = sorted((find(low), find(high)))
+        root[other] = one
+    prints = spark.createDataFrame([(p,) for p in known], "fp bigint").repartition(3)
+    found = simhash.link_components(prints, str(tmp_path), most_tallied)
+    assert by_key(map(tuple, found.collect())) == by_key((p, find(p)) for p in known if find(p) != p)
+    assert len(pairs) > 100
+    assert {tuple(row) for row in simhash.tallied_links(simhash.postings(prints)).collect()} == pairs
+
+
+def test_punctuation_of_any_script(spark):
+    said = " ".join(["शब्द"] * 50)
+    rows = [(1, f"{said}।"), (2, said), (3, f"{said}."), (4, f"{said}，{said}"), (5, f"don't {said}")]
+    found = quality.line_first_clean(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {row.doc_id: row.n_lines_removed for row in found} == {1: 0, 2: 1, 3: 0, 4: 0, 5: 1}
+    assert all(row.cleaned_text == brute.quality(row.text)[0] for row in found)
+
+
 def test_packing(hard):
     check_packing(pack(hard).collect(), brute.pieces(PAIRS, Tokenizer.from_file(brute.TOKENIZER)))
 
@@ -195,10 +232,12 @@ def test_phrases(hard):
     assert by_key(map(tuple, rows)) == by_key(wanted)
 
 
-def test_a_dictionary_starts_anew(monkeypatch):
-    monkeypatch.setattr(phrases, "DICTIONARY", 50)
-    text = "".join(chr(97 + i * i % 26) for i in range(5_000))
+@pytest.mark.parametrize("most", [1, 7, 50, 1 << 18])
+def test_a_full_dictionary_keeps_its_phrases(monkeypatch, most):
+    monkeypatch.setattr(phrases, "DICTIONARY", most)
+    text = "".join(chr(97 + i * i % 23 * (i // 900 + 1) % 26) for i in range(5_000))
     whole = phrases.phrase_signature(text)
+    assert whole.tolist() == brute.phrase_signature(text.encode())
     assert len(whole) == phrases.HASHES
     parser = phrases.PhraseParser().feed(text[:3_000].encode())
     assert (parser.copy().feed(text[3_000:].encode()).signature() == whole).all()
