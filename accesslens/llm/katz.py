@@ -1,9 +1,10 @@
-"""Katz backoff language-model scores: Good-Turing bigrams over discounted unigrams.
+"""Katz backoff language-model scores: Good-Turing n-grams of any order over discounted unigrams.
 
-The corpus goes through three tables in the shared folder, whose rows are blocks of packed numbers
-(a row per token would be ten times as large): `blocks` of documents with words numbered within the
-block, `words` by hash with their counts, and `pairs` by context with their counts. What a block
-asks of a table it sends once per distinct word or pair; answers come back by block.
+The corpus goes through tables in the shared folder, whose rows are blocks of packed numbers (a row
+per token would be ten times as large): `blocks` of documents with words numbered within the block,
+`words` by hash with their counts, and for every order from two on the n-grams by context with their
+counts. What a block asks of a table it sends once per distinct n-gram, however often it uses it;
+numbers, counts and probabilities come back by block, and the next order is asked with them.
 """
 
 from __future__ import annotations
@@ -22,11 +23,14 @@ from pyspark.sql import functions as F
 
 from accesslens.llm.packed import bucketed, cuts, mixed, pack, unpack
 from accesslens.llm.text import filled
-from accesslens.session import broadcast_if_small, scratch_path, stage
+from accesslens.session import broadcast_if_small, delete_path, scratch_path, stage
 
-BLOCK_TOKENS = 2_000_000
+ORDER = 3
+BLOCK_TOKENS = 1_000_000
 BUCKET_WORDS = 1_000_000
-BUCKET_PAIRS = 2_000_000
+BUCKET_GRAMS = 1_000_000
+# The n-grams of a context that comes more often than this go into several buckets.
+CONTEXT_USES = 250_000
 GOOD_TURING = 5
 # No word has white space, so these cannot be words.
 END, START = b"\n", 0
@@ -95,9 +99,9 @@ class Unigrams:
         return np.log10((counts + 0.5) / (self.tokens + 0.5 * (self.distinct + 1)))
 
 
-def _blocks(docs: DataFrame) -> DataFrame:
+def _blocks(docs: DataFrame, block_tokens: int) -> DataFrame:
     """Documents (_id, _text, _train) as blocks with words numbered in order of appearance; the end is 0."""
-    schema = "block bigint, ids binary, flags binary, ends binary, tokens binary, words binary, counts binary, n_words bigint"
+    schema = "block bigint, ids binary, flags binary, ends binary, tokens binary, words binary, counts binary, n_words bigint, n_tokens bigint"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 32
@@ -122,6 +126,7 @@ def _blocks(docs: DataFrame) -> DataFrame:
                 pa.array([hashes.tobytes()], pa.binary()),
                 pa.array([pack(counts)], pa.binary()),
                 pa.array([len(numbers)]),
+                pa.array([len(flat)]),
             ]
             return pa.RecordBatch.from_arrays(columns, schema=arrow)
 
@@ -130,6 +135,7 @@ def _blocks(docs: DataFrame) -> DataFrame:
                 ("block", pa.int64()),
                 *((name, pa.binary()) for name in ("ids", "flags", "ends", "tokens", "words", "counts")),
                 ("n_words", pa.int64()),
+                ("n_tokens", pa.int64()),
             ]
         )
         numbers, ids, train, tokens = fresh()
@@ -142,7 +148,7 @@ def _blocks(docs: DataFrame) -> DataFrame:
                 ids.append(key)
                 train.append(trains)
                 held += len(said) + 1
-                if held >= BLOCK_TOKENS:
+                if held >= block_tokens:
                     yield flush()
                     block, held = block + 1, 0
                     numbers, ids, train, tokens = fresh()
@@ -221,234 +227,316 @@ def _spectrum(table: DataFrame, column: str) -> list[int]:
     return list(total)
 
 
-def _parts(counts: np.ndarray) -> np.ndarray:
-    """Into how many buckets the pairs of a context go: one, unless it comes very often."""
-    return 1 + counts // BUCKET_PAIRS
+def pack_floats(values: np.ndarray) -> bytes:
+    """Floats as places among their distinct values, which are far fewer."""
+    known, at = np.unique(values, return_inverse=True)
+    return len(known).to_bytes(8, "little") + known.tobytes() + pack(at)
 
 
-PAIRS = ("contexts", "words", "context_counts", "word_counts", "counts", "uses", "docs")
-DOCS = ("ids", "flags", "n_tokens", "n_known", "base", "score")
+def unpack_floats(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:8], "little")
+    return np.frombuffer(data, np.float64, n, 8)[unpack(data[8 + 8 * n :]).astype(np.int64)]
 
 
-def _pair_requests(blocks: DataFrame, answers: DataFrame, unigrams: Unigrams, word_buckets: int, buckets: int) -> DataFrame:
-    """What blocks ask of the pair table, and (bucket below zero) their documents' own figures.
+ANSWERS = ("level", "bucket", "block", "numbers", "counts", "likely")
+ANSWER_SCHEMA = "level int, bucket bigint, block bigint, numbers binary, counts binary, likely binary"
 
-    A request holds the distinct pairs of a block and bucket: numbers and counts of context and
-    word, training count, number of uses, and the document of each use. Tokens after a word that
-    training lacks need no request: they back off to the unigram, which the block knows.
+
+def _joined(said: pd.DataFrame, name: str, read=unpack) -> np.ndarray:
+    parts = [read(data) for data in said[name]]
+    return np.concatenate(parts) if parts else read(pack_floats(np.zeros(0)) if read is unpack_floats else pack(np.zeros(0)))
+
+
+@dataclass(frozen=True)
+class Spread:
+    """Into how many buckets words and n-grams go, and how often a context comes that goes into several."""
+
+    words: int
+    grams: int
+    context_uses: int
+
+    def parts(self, counts: np.ndarray) -> np.ndarray:
+        return 1 + counts // self.context_uses
+
+
+@dataclass(frozen=True)
+class _Asked:
+    """The distinct n-grams of a block, in the order in which buckets are asked for them."""
+
+    tokens: np.ndarray
+    at: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
+    bucket: np.ndarray
+    lower: np.ndarray
+
+
+class _Block:
+    """A block's tokens and what the tables have said of its n-grams, order after order.
+
+    `at` is the n-gram of the present order that a token ends; `number` and `count` are known of
+    each. The last one is none, and with single words the start, the context of a first token.
+    `likely` is each token's probability after as many tokens as the order allows.
     """
-    names = ["bucket", "block", *PAIRS, *DOCS]
-    schema = "bucket bigint, block bigint, " + ", ".join(f"{name} binary" for name in names[2:])
+
+    def __init__(self, row: pd.Series, said: pd.DataFrame, spread: Spread, unigrams: Unigrams, level: int):
+        words = np.frombuffer(row["words"], np.uint64)
+        self.spread, self.order = spread, 1
+        self.tokens, self.ends = unpack(row["tokens"]).astype(np.int64), unpack(row["ends"], True).astype(np.int64)
+        self.lengths = np.diff(self.ends, prepend=0)
+        self.place = np.arange(len(self.tokens)) - np.repeat(self.ends - self.lengths, self.lengths)
+        self.number, self.count = np.empty(len(words) + 1, np.uint64), np.empty(len(words) + 1, np.int64)
+        said = said.sort_values(["level", "bucket"])
+        of = lambda k: said[said["level"] == k]
+        order = _word_order(words, spread.words)
+        self.number[order], self.count[order] = _joined(of(1), "numbers"), _joined(of(1), "counts")
+        # A text starts as often as it ends.
+        self.number[-1], self.count[-1] = START, self.count[0]
+        self.words, self.known, self.at = self.number, self.count, self.tokens
+        self.likely = unigrams.probability(self.count)[self.tokens]
+        for k in range(2, level + 1):
+            self._take(self.ask(), of(k))
+
+    def ask(self) -> _Asked:
+        """The n-grams of the next order whose contexts training has; other tokens keep their probability."""
+        before = np.concatenate(([0], self.at[:-1]))
+        before[self.place < max(1, self.order - 1)] = len(self.count) - 1
+        tokens = np.flatnonzero(self.count[before] > 0)
+        grams, first, at = np.unique(
+            before[tokens] * len(self.words) + self.tokens[tokens], return_index=True, return_inverse=True
+        )
+        left, right = np.divmod(grams, len(self.words))
+        part = mixed(self.words[right]) % self.spread.parts(self.count[left]).astype(np.uint64)
+        bucket = (mixed(mixed(self.number[left]) + part) % np.uint64(self.spread.grams)).astype(np.int64)
+        place = np.lexsort((self.words[right], self.number[left], bucket))
+        rank = np.empty(len(grams), np.int64)
+        rank[place] = np.arange(len(grams))
+        lower = self.likely[tokens[first[place]]]
+        return _Asked(tokens, rank[at], left[place], right[place], bucket[place], lower)
+
+    def _take(self, asked: _Asked, said: pd.DataFrame) -> None:
+        """The answers make the next order the present one."""
+        self.likely[asked.tokens] = _joined(said, "likely", unpack_floats)[asked.at]
+        self.order += 1
+        if len(said) and said["numbers"].iloc[0] is None:
+            return
+        self.number = np.append(_joined(said, "numbers"), np.uint64(0))
+        self.count = np.append(_joined(said, "counts").astype(np.int64), 0)
+        self.at = np.full(len(self.tokens), len(self.count) - 1)
+        self.at[asked.tokens] = asked.at
+
+
+REQUEST = ("contexts", "sizes", "totals", "words", "counts", "lower")
+
+
+def _requests(blocks: DataFrame, answers: DataFrame, level: int, spread: Spread, unigrams: Unigrams) -> DataFrame:
+    """(bucket, block, and per bucket the distinct n-grams that a block asks for).
+
+    They come by context: its number, how many n-grams, its count; then each one's last word, its
+    training count in the block, and the word's probability at the order below.
+    """
+    schema = "bucket bigint, block bigint, " + ", ".join(f"{name} binary" for name in REQUEST)
 
     def ask(key: tuple, mine: pd.DataFrame, said: pd.DataFrame) -> pd.DataFrame:
         row = mine.iloc[0]
-        words = np.frombuffer(row["words"], np.uint64)
-        said = said.sort_values("bucket")
-        start = len(words)
-        number, count = np.empty(start + 1, np.uint64), np.empty(start + 1, np.int64)
-        order = _word_order(words, word_buckets)
-        number[order] = np.concatenate([unpack(data) for data in said["numbers"]])
-        count[order] = np.concatenate([unpack(data) for data in said["counts"]])
-        # The start is the context of a text's first token, as often as texts end.
-        number[start], count[start] = START, count[0]
-        tokens, ends = unpack(row["tokens"]).astype(np.int64), unpack(row["ends"], True).astype(np.int64)
-        lengths = np.diff(ends, prepend=0)
-        doc = np.repeat(np.arange(len(ends)), lengths)
-        trained = (unpack(row["flags"]) & np.uint64(1))[doc].astype(float)
-        before = np.concatenate(([start], tokens[:-1]))
-        before[ends[:-1]] = start
-        alone = count[before] == 0
-        sums = lambda weights: np.bincount(doc, weights, len(ends))
-        unseen = np.log10(unigrams.probability(count))
-        own = (
-            row["ids"], row["flags"], pack(lengths), pack(sums(count[tokens] > 0)),
-            sums(unigrams.base(count)[tokens]).tobytes(), sums(np.where(alone, unseen[tokens], 0.0)).tobytes(),
-        )
-        out = [(-1 - key[0], key[0], *[None] * len(PAIRS), *own)]
-        asked = ~alone
-        doc, trained = doc[asked], trained[asked]
-        pair, at = np.unique(before[asked] * (start + 1) + tokens[asked], return_inverse=True)
-        left, right = np.divmod(pair, start + 1)
-        part = mixed(number[right]) % _parts(count[left]).astype(np.uint64)
-        bucket = (mixed(mixed(number[left]) + part) % np.uint64(buckets)).astype(np.int64)
-        place = np.lexsort((number[right], number[left], bucket))
-        rank = np.empty(len(pair), np.int64)
-        rank[place] = np.arange(len(pair))
-        at = rank[at]
-        left, right, bucket = left[place], right[place], bucket[place]
-        uses = np.bincount(at, minlength=len(pair))
-        counts = np.bincount(at, trained, len(pair))
-        doc, use_ends = doc[np.argsort(at, kind="stable")], np.cumsum(uses)
-        edges = cuts(bucket)
+        block = _Block(row, said, spread, unigrams, level - 1)
+        asked = block.ask()
+        trained = np.repeat((unpack(row["flags"]) & np.uint64(1)).astype(float), block.lengths)[asked.tokens]
+        counts = np.bincount(asked.at, trained, len(asked.left))
+        edges, out = cuts(asked.bucket), []
         for a, b in zip(edges[:-1], edges[1:]):
-            l, r = left[a:b], right[a:b]
-            uses_of = doc[use_ends[a] - uses[a] : use_ends[b - 1]]
-            columns = (number[l], number[r], count[l], count[r], counts[a:b], uses[a:b], uses_of)
-            out.append((int(bucket[a]), key[0], *map(pack, columns), *[None] * len(DOCS)))
-        return pd.DataFrame(out, columns=names)
-
-    left = blocks.select("block", "ids", "flags", "ends", "tokens", "words").groupBy("block")
-    return left.cogroup(answers.where("block >= 0").groupBy("block")).applyInPandas(ask, schema)
+            at = cuts(asked.left[a:b])
+            context = asked.left[a:b][at[:-1]]
+            out.append(
+                (
+                    int(asked.bucket[a]), key[0], pack(block.number[context], True), pack(np.diff(at)),
+                    pack(block.count[context]), pack(block.words[asked.right[a:b]]), pack(counts[a:b]),
+                    pack_floats(asked.lower[a:b]),
+                )
+            )
+        return pd.DataFrame(out, columns=["bucket", "block", *REQUEST])
 
+    left = blocks.select("block", "flags", "ends", "tokens", "words").groupBy("block")
+    return left.cogroup(answers.groupBy("block")).applyInPandas(ask, schema)
 
-TABLE = ("contexts", "words", "context_counts", "word_counts", "counts")
 
+TABLE = ("contexts", "sizes", "totals", "counts", "lower")
 
-def _pair_table(requests: DataFrame, folder: str) -> DataFrame:
-    """The requests of each bucket merged: a row with its part of the pair table, and every use of it.
 
-    Rows of documents' own figures pass unchanged.
-    """
-    names = ["bucket", "block", *TABLE, "blocks", "block_ends", "use_pairs", "use_docs", *DOCS]
-    schema = "bucket bigint, block bigint, " + ", ".join(f"{name} binary" for name in names[2:])
+def _gram_table(requests: DataFrame, path: str) -> DataFrame:
+    """The requests of each bucket merged: a row with its n-grams by context, and the places of those each block asked."""
+    names = ["bucket", *TABLE, "blocks", "block_ends", "asked"]
+    schema = "bucket bigint, " + ", ".join(f"{name} binary" for name in names[1:])
 
     def merge(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        if key[0] < 0:
-            return rows.reindex(columns=names)
-        parts = {name: [unpack(data) for data in rows[name]] for name in PAIRS}
-        whole = {name: np.concatenate(parts[name]) for name in PAIRS}
-        contexts, c = np.unique(whole["contexts"], return_inverse=True)
-        words, w = np.unique(whole["words"], return_inverse=True)
-        pairs, first, at = np.unique(c * len(words) + w, return_index=True, return_inverse=True)
-        columns = (whole["contexts"], whole["words"], whole["context_counts"], whole["word_counts"])
-        table = [column[first] for column in columns] + [np.bincount(at, whole["counts"].astype(float), len(pairs))]
-        uses = (
-            rows["block"].to_numpy(np.int64), np.cumsum([len(one) for one in parts["docs"]]),
-            np.repeat(at, whole["uses"].astype(np.int64)), whole["docs"],
+        sizes = _joined(rows, "sizes").astype(np.int64)
+        per_context = {
+            "contexts": np.concatenate([unpack(data, True) for data in rows["contexts"]]),
+            "totals": _joined(rows, "totals"),
+        }
+        context, total = (np.repeat(values, sizes) for values in per_context.values())
+        last, lower = _joined(rows, "words"), _joined(rows, "lower", unpack_floats)
+        counted = [unpack(data) for data in rows["counts"]]
+        lengths = [len(one) for one in counted]
+        contexts, c = np.unique(context, return_inverse=True)
+        words, w = np.unique(last, return_inverse=True)
+        grams, first, at = np.unique(c * len(words) + w, return_index=True, return_inverse=True)
+        of = grams // len(words)
+        counts = np.bincount(at, np.concatenate(counted).astype(float), len(grams))
+        # A block's places rise; a step for each block lets them rise over all.
+        asked = at + np.repeat(np.arange(len(rows)) * len(grams), lengths)
+        row = (
+            key[0], pack(contexts, True), pack(np.diff(cuts(of))), pack(total[first[cuts(of)[:-1]]]), pack(counts),
+            pack_floats(lower[first]), rows["block"].to_numpy(np.int64).tobytes(), pack(np.cumsum(lengths), True),
+            pack(asked, True),
         )
-        return pd.DataFrame([(key[0], None, *map(pack, table), *map(pack, uses), *[None] * len(DOCS))], columns=names)
+        return pd.DataFrame([row], columns=names)
 
-    return stage(requests.groupBy("bucket").applyInPandas(merge, schema), f"{folder}/pairs")
+    return stage(requests.groupBy("bucket").applyInPandas(merge, schema), path)
 
 
-def _context_sums(table: dict[str, np.ndarray], unigrams: Unigrams, discounts: Discounts):
-    """Where contexts begin; of each, discounted counts and unigram probabilities of words seen after it."""
-    at = cuts(table["contexts"])
-    counts = table["counts"].astype(np.int64)
-    lower = np.where(counts > 0, unigrams.probability(table["word_counts"].astype(np.int64)), 0.0)
-    return at, np.add.reduceat(discounts.mass(counts), at[:-1]), np.add.reduceat(lower, at[:-1])
+def _context_sums(row: dict, discounts: Discounts) -> tuple[np.ndarray, ...]:
+    """Counts and lower probabilities of a bucket's n-grams; where contexts begin, and the sums over words seen after each."""
+    counts, lower = unpack(row["counts"]).astype(np.int64), unpack_floats(row["lower"])
+    begin = np.concatenate(([0], np.cumsum(unpack(row["sizes"]).astype(np.int64))[:-1]))
+    mass = np.add.reduceat(discounts.mass(counts), begin)
+    return counts, lower, begin, mass, np.add.reduceat(np.where(counts > 0, lower, 0.0), begin)
 
 
-def _split_contexts(pairs: DataFrame, unigrams: Unigrams, discounts: Discounts, folder: str) -> DataFrame:
+def _split_contexts(table: DataFrame, discounts: Discounts, spread: Spread, path: str) -> DataFrame:
     """(bucket, split): per bucket the sums of the contexts that it shares with others."""
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fields = [("bucket", pa.int64()), ("context", pa.int64()), ("mass", pa.float64()), ("lower", pa.float64())]
         for batch in batches:
             for row in batch.to_pylist():
-                table = {name: unpack(row[name]) for name in TABLE}
-                at, mass, lower = _context_sums(table, unigrams, discounts)
-                split = np.flatnonzero(_parts(table["context_counts"][at[:-1]].astype(np.int64)) > 1)
-                found = [(row["bucket"], int(table["contexts"][at[i]]), mass[i], lower[i]) for i in split]
-                yield _table(found, fields)
+                split = np.flatnonzero(spread.parts(unpack(row["totals"]).astype(np.int64)) > 1)
+                if len(split):
+                    _, _, _, mass, lower = _context_sums(row, discounts)
+                    contexts = unpack(row["contexts"], True)
+                    yield _table([(row["bucket"], int(contexts[i]), mass[i], lower[i]) for i in split], fields)
 
-    rows = pairs.where("bucket >= 0").select("bucket", *TABLE)
-    rows = rows.mapInArrow(sums, "bucket bigint, context bigint, mass double, lower double")
+    rows = table.select("bucket", *TABLE).mapInArrow(sums, "bucket bigint, context bigint, mass double, lower double")
     whole = rows.groupBy("context").agg(
         F.sum("mass").alias("mass"), F.sum("lower").alias("lower"), F.collect_list("bucket").alias("buckets")
     )
     whole = whole.select(F.explode("buckets").alias("bucket"), F.struct("context", "mass", "lower").alias("split"))
-    return stage(whole.groupBy("bucket").agg(F.collect_list("split").alias("split")), f"{folder}/split")
+    return stage(whole.groupBy("bucket").agg(F.collect_list("split").alias("split")), path)
 
 
-def _partial_scores(pairs: DataFrame, split: DataFrame, unigrams: Unigrams, discounts: Discounts) -> DataFrame:
-    """(block, docs, score, and documents' own figures): sums over the tokens that one bucket decides."""
-    names = ["block", "docs", *DOCS]
-    schema = "block bigint, " + ", ".join(f"{name} binary" for name in names[1:])
-    fields = [("block", pa.int64()), *((name, pa.binary()) for name in names[1:])]
+def _answers(table: DataFrame, split: DataFrame, discounts: Discounts, level: int, buckets: int, last: bool) -> DataFrame:
+    """What blocks asked: numbers (of the n-grams that training has), counts and probabilities."""
+    fields = list(zip(ANSWERS, (pa.int32(), pa.int64(), pa.int64(), *[pa.binary()] * 3)))
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                if row["bucket"] < 0:
-                    yield _table([(row["block"], None, *(row[name] for name in DOCS))], fields)
-                    continue
-                table = {name: unpack(row[name]) for name in TABLE}
-                at, mass, lower = _context_sums(table, unigrams, discounts)
+                counts, lower, begin, mass, below = _context_sums(row, discounts)
+                contexts, total = unpack(row["contexts"], True), unpack(row["totals"]).astype(np.float64)
                 shared = {one["context"]: one for one in row["split"] or ()}
-                for i in np.flatnonzero(np.isin(table["contexts"][at[:-1]], np.array(list(shared), np.uint64))):
-                    whole = shared[int(table["contexts"][at[i]])]
-                    mass[i], lower[i] = whole["mass"], whole["lower"]
-                total = table["context_counts"][at[:-1]].astype(np.float64)
+                for i in np.flatnonzero(np.isin(contexts, np.array(list(shared), np.uint64))):
+                    whole = shared[int(contexts[i])]
+                    mass[i], below[i] = whole["mass"], whole["lower"]
                 # A context that loses nothing by discounts gets one token more, for what it lacks.
                 total = np.where(mass < total, total, mass + 1)
-                weight = (1 - mass / total) / (1 - lower)
-                of = np.repeat(np.arange(len(total)), np.diff(at))
-                counts = table["counts"].astype(np.int64)
-                backed = weight[of] * unigrams.probability(table["word_counts"].astype(np.int64))
-                log = np.log10(np.where(counts > 0, discounts.mass(counts) / total[of], backed))
-                uses, docs = log[unpack(row["use_pairs"]).astype(np.int64)], unpack(row["use_docs"]).astype(np.int64)
-                begin, found = 0, []
-                for block, end in zip(unpack(row["blocks"]).tolist(), unpack(row["block_ends"]).tolist()):
-                    sums = np.bincount(docs[begin:end], uses[begin:end])
-                    some = np.unique(docs[begin:end])
-                    found.append((block, pack(some, True), *[None] * 5, sums[some].tobytes()))
-                    begin = end
+                weight = (1 - mass / total) / (1 - below)
+                of = np.repeat(np.arange(len(total)), np.diff(np.append(begin, len(counts))))
+                likely = np.where(counts > 0, discounts.mass(counts) / total[of], weight[of] * lower)
+                number = np.zeros(len(counts), np.uint64)
+                number[np.argsort(-counts, kind="stable")] = np.arange(len(counts), dtype=np.uint64)
+                number = np.where(counts > 0, number * np.uint64(buckets) + np.uint64(row["bucket"] + 1), 0)
+                asked = unpack(row["asked"], True).astype(np.int64)
+                ends = unpack(row["block_ends"], True).astype(np.int64)
+                found = []
+                for i, block in enumerate(np.frombuffer(row["blocks"], np.int64).tolist()):
+                    mine = asked[ends[i - 1] if i else 0 : ends[i]] - i * len(counts)
+                    known = (None, None) if last else (pack(number[mine]), pack(counts[mine]))
+                    found.append((level, row["bucket"], block, *known, pack_floats(likely[mine])))
                 yield _table(found, fields)
 
-    rows = pairs.join(broadcast_if_small(split), "bucket", "left")
-    kept = ["bucket", "block", *TABLE, "blocks", "block_ends", "use_pairs", "use_docs", *DOCS, "split"]
-    return rows.select(*kept).mapInArrow(score, schema)
+    rows = table.join(broadcast_if_small(split), "bucket", "left")
+    return rows.select(*table.columns, "split").mapInArrow(answer, ANSWER_SCHEMA)
 
 
-def katz_scores(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def katz_scores(
+    docs: DataFrame,
+    train: Column,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    order: int = ORDER,
+    block_tokens: int = BLOCK_TOKENS,
+    bucket_grams: int = BUCKET_GRAMS,
+    context_uses: int = CONTEXT_USES,
+) -> DataFrame:
     """(doc_id, train, n_tokens, n_known, train_tokens, base_score, score): a row per input row.
 
-    `train` says which documents teach the model. Tokens are the text's words, A-Z lower-cased,
-    and one end. score is the log10 probability of the text: a pair seen in training has its
-    discounted share of its context; any other the word's unigram probability, weighted so that
-    every context's probabilities sum to one; unigrams are discounted for the unknown word.
-    base_score adds a half to every unigram count instead. n_known counts tokens seen in training.
+    `train` says which documents teach the model, `order` how long its n-grams are. Tokens are the
+    text's words, A-Z lower-cased, and one end; the start is the context of the first token, and no
+    context goes back beyond it. score is the log10 probability of the text. A token whose n-gram
+    training has gets the discounted share of its context; any other the probability after a
+    context one token shorter, weighted so that every context's probabilities sum to one; a context
+    that training lacks passes the shorter one's probability on. Unigrams are discounted for the
+    unknown word. base_score adds a half to every unigram count instead. n_known counts tokens seen
+    in training.
 
     Counts cover all training documents, and all texts are scored whole. Words are told apart by
     64 hash bits. Null and empty texts are the end alone. Ids are whole numbers or null; rows
     that share an id are scored each. Without training documents every token is the unknown
     word, of probability one. An empty table gives an empty result; other columns are not read.
 
-    Every distinct pair of a block is sent once. A context that comes more than `BUCKET_PAIRS`
-    times is split over buckets by word, and its sums are added up afterwards.
+    Every distinct n-gram of a block is sent once an order. A context that comes more than
+    `context_uses` times is split over buckets by word, and its sums are added up afterwards.
     """
-    folder = scratch_path(docs.sparkSession, "katz")
+    spark = docs.sparkSession
+    folder = scratch_path(spark, "katz")
     rows = docs.select(
         F.col(doc_id).cast("bigint").alias("_id"), filled(text).alias("_text"), F.coalesce(train, F.lit(False)).alias("_train")
     )
-    blocks = bucketed(_blocks(rows), f"{folder}/blocks")
-    size = blocks.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
-    word_buckets = 1 + size // BUCKET_WORDS
-    answers = _word_counts(blocks, word_buckets, folder)
-    distinct, tokens, *n = _spectrum(answers.where("block < 0"), "counts")
-    unigrams = _unigrams(answers.where("block < 0"), tokens, distinct, Discounts.of([0, *n]))
-    # A block has no more pairs than tokens, and about as many as that for long-tailed words.
-    pair_buckets = 1 + size * 8 // BUCKET_PAIRS
-    pairs = _pair_table(_pair_requests(blocks, answers, unigrams, word_buckets, pair_buckets), folder)
-    _, _, *n = _spectrum(pairs.where("bucket >= 0"), "counts")
-    discounts = Discounts.of([0, *n])
-    split = _split_contexts(pairs, unigrams, discounts, folder)
-    scored = _partial_scores(pairs, split, unigrams, discounts)
+    blocks = bucketed(_blocks(rows, block_tokens), f"{folder}/blocks")
+    size = lambda column: F.coalesce(F.sum(column), F.lit(0))
+    n_words, n_tokens = blocks.agg(size("n_words"), size("n_tokens")).first()
+    # A block has no more distinct n-grams than tokens.
+    spread = Spread(1 + n_words // BUCKET_WORDS, 1 + n_tokens // bucket_grams, context_uses)
+    words = _word_counts(blocks, spread.words, folder)
+    distinct, tokens, *n = _spectrum(words.where("block < 0"), "counts")
+    unigrams = _unigrams(words.where("block < 0"), tokens, distinct, Discounts.of([0, *n]))
+    answers = words.where("block >= 0").selectExpr("1 AS level", "*", "CAST(NULL AS BINARY) AS likely")
+    for level in range(2, order + 1):
+        path = f"{folder}/grams-{level}"
+        table = _gram_table(_requests(blocks, answers, level, spread, unigrams), path)
+        _, _, *n = _spectrum(table, "counts")
+        discounts = Discounts.of([0, *n])
+        split = _split_contexts(table, discounts, spread, f"{folder}/split-{level}")
+        said = _answers(table, split, discounts, level, spread.grams, level == order)
+        if level < order:
+            said = stage(said, f"{folder}/answers-{level}")
+            delete_path(spark, path)
+        answers = answers.unionByName(said)
     schema = f"`{doc_id}` bigint, train boolean, n_tokens bigint, n_known bigint, train_tokens bigint"
     schema += ", base_score double, score double"
 
-    def add_up(rows: pd.DataFrame) -> pd.DataFrame:
-        own = rows[rows["docs"].isna()].iloc[0]
-        score = np.frombuffer(own["score"]).copy()
-        for _, part in rows[rows["docs"].notna()].iterrows():
-            score[unpack(part["docs"], True).astype(np.int64)] += np.frombuffer(part["score"])
-        flags = unpack(own["flags"])
-        ids = pd.array(np.frombuffer(own["ids"], np.int64), "Int64")
+    def add_up(key: tuple, mine: pd.DataFrame, said: pd.DataFrame) -> pd.DataFrame:
+        row = mine.iloc[0]
+        block = _Block(row, said, spread, unigrams, order)
+        doc = np.repeat(np.arange(len(block.ends)), block.lengths)
+        sums = lambda weights: np.bincount(doc, weights, len(block.ends))
+        flags = unpack(row["flags"])
+        ids = pd.array(np.frombuffer(row["ids"], np.int64), "Int64")
         ids[(flags & np.uint64(2)) > 0] = pd.NA
         return pd.DataFrame(
             {
                 doc_id: ids,
                 "train": (flags & np.uint64(1)) > 0,
-                "n_tokens": unpack(own["n_tokens"]).astype(np.int64),
-                "n_known": unpack(own["n_known"]).astype(np.int64),
+                "n_tokens": block.lengths,
+                "n_known": sums(block.known[block.tokens] > 0).astype(np.int64),
                 "train_tokens": tokens,
-                "base_score": np.frombuffer(own["base"]),
-                "score": score,
+                "base_score": sums(unigrams.base(block.known)[block.tokens]),
+                "score": sums(np.log10(block.likely)),
             }
         )
 
-    return scored.groupBy("block").applyInPandas(add_up, schema)
+    left = blocks.select("block", "ids", "flags", "ends", "tokens", "words").groupBy("block")
+    return left.cogroup(answers.groupBy("block")).applyInPandas(add_up, schema)
 
 
 def _unigrams(table: DataFrame, tokens: int, distinct: int, discounts: Discounts) -> Unigrams:

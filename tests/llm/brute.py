@@ -249,21 +249,26 @@ def _kept(n):
 
 
 class Katz:
-    """Bigrams with start and end, backing off to unigrams with one unknown word."""
-
-    def __init__(self, texts):
-        tokens = [self.tokens(text) for text in texts]
-        pairs = [list(zip([None, *one], one)) for one in tokens]
-        self.unigrams, self.bigrams = Counter(sum(tokens, [])), Counter(sum(pairs, []))
-        self.contexts = Counter(u for one in pairs for u, _ in one)
+    """N-grams with start and end, backing off order by order to unigrams with one unknown word."""
+
+    def __init__(self, texts, order=3):
+        self.order = order
+        said = [[None, *self.tokens(text)] for text in texts]
+        self.counts = {
+            k: Counter(tuple(one[i - k + 1 : i + 1]) for one in said for i in range(max(1, k - 1), len(one)))
+            for k in range(1, order + 1)
+        }
+        self.unigrams = Counter({gram[0]: n for gram, n in self.counts[1].items()})
         self.total, self.distinct = sum(self.unigrams.values()), len(self.unigrams)
         spectrum = lambda counts: [0, *(sum(c == r for c in counts.values()) for r in range(1, 7))]
-        self.keep_one, self.keep_two = _kept(spectrum(self.unigrams)), _kept(spectrum(self.bigrams))
-        self.kept = sum(self.keep_one(c) for c in self.unigrams.values())
-        self.mass, self.lower = Counter(), Counter()
-        for (u, w), c in self.bigrams.items():
-            self.mass[u] += self.keep_two(c)
-            self.lower[u] += self.unigram(w)
+        self.keep = {k: _kept(spectrum(counts)) for k, counts in self.counts.items()}
+        self.kept = sum(self.keep[1](c) for c in self.unigrams.values())
+        self.contexts, self.mass, self.lower = Counter(), Counter(), Counter()
+        for k in range(2, order + 1):
+            for gram, c in self.counts[k].items():
+                self.contexts[gram[:-1]] += c
+                self.mass[gram[:-1]] += self.keep[k](c)
+                self.lower[gram[:-1]] += self.likely(gram[1:-1], gram[-1])
 
     @staticmethod
     def tokens(text):
@@ -275,19 +280,25 @@ class Katz:
         c = self.unigrams.get(w, 0)
         if self.kept >= self.total:
             return max(c, 1) / (self.total + 1)
-        return (self.keep_one(c) if c else self.total - self.kept) / self.total
+        return (self.keep[1](c) if c else self.total - self.kept) / self.total
 
-    def bigram(self, u, w):
-        if u not in self.contexts:
+    def likely(self, context, w):
+        """The probability of a token after a tuple of tokens."""
+        if not context:
             return self.unigram(w)
-        total = self.contexts[u] if self.mass[u] < self.contexts[u] else self.mass[u] + 1
-        if (u, w) in self.bigrams:
-            return self.keep_two(self.bigrams[u, w]) / total
-        return (1 - self.mass[u] / total) / (1 - self.lower[u]) * self.unigram(w)
+        shorter = self.likely(context[1:], w) if context != (None,) else self.unigram(w)
+        if context not in self.contexts:
+            return shorter
+        total = self.contexts[context] if self.mass[context] < self.contexts[context] else self.mass[context] + 1
+        gram = (*context, w)
+        if gram in self.counts[len(gram)]:
+            return self.keep[len(gram)](self.counts[len(gram)][gram]) / total
+        return (1 - self.mass[context] / total) / (1 - self.lower[context]) * shorter
 
     def score(self, text):
-        tokens = self.tokens(text)
-        return sum(math.log10(self.bigram(u, w)) for u, w in zip([None, *tokens], tokens))
+        said = [None, *self.tokens(text)]
+        least = lambda i: max(0, i - self.order + 1)
+        return sum(math.log10(self.likely(tuple(said[least(i) : i]), said[i])) for i in range(1, len(said)))
 
     def base(self, text):
         bottom = self.total + 0.5 * (self.distinct + 1)

@@ -258,12 +258,22 @@ def test_katz(hard, train):
     assert [row[5:] for row in found] == [pytest.approx(row[5:], abs=2e-6) for row in wanted]
 
 
-def test_katz_splits_frequent_contexts(documents, texts, monkeypatch):
-    whole = {r.doc_id: r.score for r in katz.katz_scores(documents, F.col("doc_id") % 3 != 0).collect()}
-    monkeypatch.setattr(katz, "BUCKET_PAIRS", 40)
-    monkeypatch.setattr(katz, "_parts", lambda counts: 1 + counts // 40)
-    split = {r.doc_id: r.score for r in katz.katz_scores(documents, F.col("doc_id") % 3 != 0).collect()}
-    assert split == pytest.approx(whole, rel=1e-9)
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_katz_of_any_order_in_many_blocks_and_buckets(documents, texts, order):
+    """Small blocks, small buckets and contexts split over them, against the model in plain Python."""
+    limits = {"block_tokens": 3_000, "bucket_grams": 4_000, "context_uses": 40}
+    rows = katz.katz_scores(documents, F.col("doc_id") % 3 != 0, order=order, **limits).collect()
+    model = brute.Katz([text for key, text in texts if key % 3], order)
+    assert {r.doc_id: r.score for r in rows} == pytest.approx({key: model.score(text) for key, text in texts}, rel=1e-9)
+
+
+def test_katz_with_one_pair_as_half_of_all_tokens(spark):
+    rows = [(i, "the same " * 400 + f"and word {i} of {i % 7}") for i in range(30)]
+    rows += [(30 + i, " ".join(f"w{(i * k) % 97}" for k in range(400))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    found = katz.katz_scores(docs, F.col("doc_id") % 5 != 1, block_tokens=2_000, bucket_grams=1_000, context_uses=500)
+    model = brute.Katz([text for key, text in rows if key % 5 != 1])
+    assert {r.doc_id: r.score for r in found.collect()} == pytest.approx({k: model.score(t) for k, t in rows}, rel=1e-9)
 
 
 def test_quality(hard):

@@ -117,8 +117,10 @@ def test_katz(spark, texts):
 def test_katz_is_normalised(texts):
     """The brute-force model, to which the operator is held, sums to one over words and the unknown one."""
     model = brute.Katz([text for _, text in texts[:40]])
-    for u in [None, "\n", "no word of it", *list(model.contexts)[:20]]:
-        whole = sum(model.bigram(u, w) for w in [*model.unigrams, "unknown word"])
+    known = [[c for c in model.contexts if len(c) == n][:20] for n in (1, 2)]
+    assert all(map(len, known))
+    for context in [(), (None,), ("\n",), ("no word of it",), ("no word", "of it"), *sum(known, [])]:
+        whole = sum(model.likely(context, w) for w in [*model.unigrams, "unknown word"])
         assert whole == pytest.approx(1, abs=1e-9)
 
 
