@@ -25,8 +25,9 @@ SHARED_BYTES = BYTES - MOST_BITS
 # A posting is keyed by so many of them, and a pair that shares bytes for certain shares so many postings.
 KEY_BYTES = 4
 SHARED_POSTINGS = comb(SHARED_BYTES, KEY_BYTES)
-# Pairs of a posting are tallied up to so many members; in longer ones links are looked up.
-MOST_TALLIED = 32
+# Pairs of a posting are tallied up to so many members, so that there are at most 1.5 pairs a member; in longer
+# ones links are looked up.
+MOST_TALLIED = 4
 # Up to this many members of a posting are compared pair by pair where links are looked up.
 PAIRWISE = 64
 # Shingles whose bits are counted at a time.
@@ -84,6 +85,16 @@ def _lists(keyed: DataFrame) -> DataFrame:
     return lists.where(F.size("members") > 1).select("members")
 
 
+def _shared_postings(prints: DataFrame, folder: str) -> DataFrame:
+    """(choice, shared, fp, n): the rows of postings with n fingerprints, more than one.
+
+    Most postings hold one fingerprint. Counting them shuffles numbers only, and the rest is few.
+    """
+    keyed = postings(prints)
+    counts = keyed.groupBy("choice", "shared").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    return keyed.join(broadcast_if_small(stage(counts, f"{folder}/shared")), ["choice", "shared"])
+
+
 def tallied_links(keyed: DataFrame) -> DataFrame:
     """(a, b): fingerprints within `MOST_BITS` bits that share enough postings.
 
@@ -173,12 +184,9 @@ def link_components(prints: DataFrame, folder: str, most_tallied: int = MOST_TAL
     part in the tally. A linked pair shares a long posting, and is found there, or none, and then
     its tally is whole: no link is lost.
     """
-    keyed = postings(prints)
-    counts = keyed.groupBy("choice", "shared").agg(F.count(F.lit(1)).alias("n"))
-    long = stage(counts.where(F.col("n") > most_tallied).select("choice", "shared"), f"{folder}/long")
-    long = broadcast_if_small(long)
-    tallied = tallied_links(keyed.join(long, ["choice", "shared"], "left_anti"))
-    crowded = keyed.join(long, ["choice", "shared"], "left_semi").select("fp").distinct()
+    keyed = stage(_shared_postings(prints, folder), f"{folder}/postings")
+    tallied = tallied_links(keyed.where(F.col("n") <= most_tallied))
+    crowded = keyed.where(F.col("n") > most_tallied).select("fp").distinct()
     return components(tallied.unionByName(looked_up_links(crowded)), folder)
 
 
