@@ -2,17 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from accesslens.functions import is_error
 from accesslens.functions.log_time import with_instants
 from accesslens.operators.parsing import parse_log_lines
-from accesslens.session import path_exists
+from accesslens.session import make_folder, path_exists
 from accesslens.sources.log_files import located_lines, open_text
 
 _WINDOWS = "window_start timestamp, window_end timestamp, request_count bigint, error_count bigint"
@@ -94,23 +90,13 @@ def late_requests(windows: DataFrame, batch: DataFrame) -> DataFrame:
     return batch.join(ours, "window_start", "left").select("window_start", *missing).where("late_requests > 0")
 
 
-def _earliest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The earliest request of each host in a task's lines, so that a frequent host moves as a few rows."""
-    for batch in batches:
-        yield batch.groupby("host", as_index=False, sort=False)["first_seen"].min()
-
-
-def _first_seen(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """A host when it is first seen, and again if an earlier request of it turns up."""
-    known = state.get[0] if state.exists else None
-    found = min(int(batch["first_seen"].min().value) for batch in batches) // 1000
-    if known is None or found < known:
-        state.update((found,))
-        yield pd.DataFrame({"host": [key[0]], "first_seen": [pd.Timestamp(found, unit="us")]})
-
-
 def stream_first_seen_hosts(
-    spark: SparkSession, folder: str, work: str, prefix: str = "", files_per_trigger: int = 1
+    spark: SparkSession,
+    folder: str,
+    work: str,
+    prefix: str = "",
+    files_per_trigger: int = 1,
+    state_partitions: int | None = None,
 ) -> DataFrame:
     """(host, first_seen) of all hosts in the files that are there now; returns the rows so far.
 
@@ -118,18 +104,35 @@ def stream_first_seen_hosts(
     up, and once more for each earlier request that a later file brings; the frame that comes back has
     the earliest. `work` keeps results and state: call again after a failure or when more files have
     come, and only what is new is read and said.
+
+    Every micro-batch opens and commits each part of the state, however few hosts it touches, so there
+    are only as many as the cores that are there at the first call, or `state_partitions`; at most the
+    session's shuffle partitions. The number stays with `work`.
     """
     results = f"{work}/hosts"
+    make_folder(spark, results)
     requests = stream_requests(spark, folder, prefix, files_per_trigger)
-    earliest = requests.select("host", F.col("requested_at").alias("first_seen")).mapInPandas(_earliest, _SEEN)
-    stream = (
-        earliest.groupBy("host")
-        .applyInPandasWithState(_first_seen, _SEEN, "micros bigint", "append", GroupStateTimeout.NoTimeout)
-        .writeStream.format("parquet")
-        .outputMode("append")
-        .option("checkpointLocation", f"{work}/progress")
-        .trigger(availableNow=True)
-        .start(results)
-    )
+    # The time is that of the micro-batch, also when it is repeated; of equal requests the first to be said counts.
+    said = F.struct(F.col("requested_at").alias("first_seen"), F.current_timestamp().alias("said_at"))
+    earliest = requests.select("host", said.alias("said")).groupBy("host").agg(F.min("said").alias("earliest"))
+    news = earliest.where(F.col("earliest.said_at") == F.current_timestamp()).select("host", "earliest.first_seen")
+
+    def say(found: DataFrame, epoch: int) -> None:
+        found.write.mode("overwrite").parquet(f"{results}/epoch={epoch}")
+
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    parts = min(int(usual), state_partitions or spark.sparkContext.defaultParallelism)
+    try:
+        # A stream takes the settings that are there when it starts.
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        stream = (
+            news.writeStream.foreachBatch(say)
+            .outputMode("update")
+            .option("checkpointLocation", f"{work}/progress")
+            .trigger(availableNow=True)
+            .start()
+        )
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", usual)
     stream.awaitTermination()
     return spark.read.schema(_SEEN).parquet(results).groupBy("host").agg(F.min("first_seen").alias("first_seen"))

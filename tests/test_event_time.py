@@ -96,6 +96,21 @@ def test_first_seen_hosts(spark, logs, tmp_path, monkeypatch):
     assert spark.read.parquet(f"{work}/hosts").count() == said + 2
 
 
+def test_first_seen_hosts_keep_a_part_of_the_state_per_core(spark, logs, tmp_path):
+    """Not one per shuffle partition: each costs every micro-batch time. An equal request is not said again."""
+    work, usual = str(tmp_path / "work"), spark.conf.get("spark.sql.shuffle.partitions")
+    write(logs, "log_4", [("a", 1, 0, 5, 200), ("b", 1, 0, 50, 200)], 0)
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "40")
+        found = stream_first_seen_hosts(spark, str(logs), work, "log_")
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "40"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", usual)
+    assert found.count() == spark.read.parquet(f"{work}/hosts").count() == 5
+    parts = spark.read.format("state-metadata").load(f"{work}/progress").select("numPartitions").collect()
+    assert [row.numPartitions for row in parts] == [spark.sparkContext.defaultParallelism]
+
+
 STAMPS = [
     ("01/Jul/1995:00:00:01 -0400", "1995-07-01 04:00:01"),
     ("31/Dec/1999:23:59:59 -0730", "2000-01-01 07:29:59"),
