@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import time
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +30,9 @@ from accesslens.sources.log_files import (
 )
 from accesslens.tables.run_tables import GENERATION, RunTables
 
+# Each load takes its time however few lines it has, so a run has no more of them if nothing is said.
+MOST_LOADS = 32
+
 
 def stream_file_batches(
     spark: SparkSession,
@@ -38,17 +42,18 @@ def stream_file_batches(
     prefix: str = "",
     query: str = ALL_QUERIES,
     run_id: int | None = None,
-    files_per_trigger: int = 1,
+    files_per_trigger: int | None = None,
     checkpoint: str | None = None,
     sample_lines: int = SAMPLE_LINES,
 ) -> int:
     """Process the files of a folder a few at a time, one batch per file; returns the run id.
 
-    `files_per_trigger` files form a load, a partition of the run tables; the time a load
-    took is stored with each of its batches. Files arrive by age, but batch ids follow the
-    sorted listing taken when the run began. Files that arrive later are left to the next
-    run. A micro-batch publishes under its own load id, so one that is repeated after a
-    failure overwrites itself.
+    `files_per_trigger` files form a load, a partition of the run tables; if it is not said,
+    one file does up to `MOST_LOADS` files, and beyond that as many as make so many loads. The
+    time a load took is stored with each of its batches. Files arrive by age, but batch ids follow
+    the sorted listing taken when the run began. Files that arrive later are left to the next run.
+    A micro-batch publishes under its own load id, so one that is repeated after a failure
+    overwrites itself.
 
     To resume a run, call again with its run_id and checkpoint, and with the same
     `files_per_trigger`. A checkpoint that is not named is removed when the call ends. Running a
@@ -70,6 +75,9 @@ def stream_file_batches(
         delete_path(spark, f"{checkpoint}/generation")
         create_file(spark, f"{checkpoint}/generation/{generation}")
         files = stage(list_log_files(spark, folder, prefix), listing)
+    if files_per_trigger is None:
+        # By the listing that the checkpoint keeps: the same when a run is resumed.
+        files_per_trigger = max(1, math.ceil(files.count() / MOST_LOADS))
     first_load = generation * GENERATION
     # Keyed and measured once for all micro-batches.
     named = broadcast_if_small(stage(listing_by_scan_path(files), f"{work}/listing"))

@@ -171,6 +171,19 @@ def test_a_stream_of_many_files_keeps_every_runtime(spark, tables, tmp_path):
     assert tables.stored(BATCH_METADATA).where("load_id > 0").select("load_id").distinct().count() == 2
 
 
+def test_loads_do_not_grow_with_the_number_of_files(spark, tables, tmp_path, monkeypatch):
+    from accesslens.streaming import file_batches
+
+    monkeypatch.setattr(file_batches, "MOST_LOADS", 3, raising=False)
+    folder = tmp_path / "logs"
+    folder.mkdir()
+    for n in range(8):
+        (folder / f"log_{n}").write_text(LINE.format(host=n, day=1, hour=1, path=1, status=200, size=1) + "\n")
+    run_id = run_etl(spark, tables, str(folder), prefix="log_", pipeline="stream", query="query1")
+    assert tables.stored(BATCH_METADATA).where("load_id > 0").select("load_id").distinct().count() == 3
+    assert [(b.batch_id, b.batch_size) for b in tables.read_ordered(BATCH_METADATA, run_id).collect()] == [(n, 1) for n in range(1, 9)]
+
+
 def test_a_stream_resumes_although_a_file_was_added(spark, tables, tmp_path, monkeypatch):
     from accesslens.streaming import file_batches
 
