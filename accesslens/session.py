@@ -8,6 +8,8 @@ import shutil
 import tempfile
 import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
@@ -74,6 +76,17 @@ def build_session(
     return builder.getOrCreate()
 
 
+@contextmanager
+def setting(spark: SparkSession, name: str, value: int) -> Iterator[None]:
+    """A session setting that holds within the block, for what is planned or started there."""
+    usual = spark.conf.get(name)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, usual)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from accesslens.functions import is_error
 from accesslens.functions.log_time import with_instants
 from accesslens.operators.parsing import parse_log_lines
-from accesslens.session import make_folder, path_exists
+from accesslens.session import make_folder, path_exists, setting
 from accesslens.sources.log_files import located_lines, open_text
 
 _WINDOWS = "window_start timestamp, window_end timestamp, request_count bigint, error_count bigint"
@@ -120,11 +120,9 @@ def stream_first_seen_hosts(
     def say(found: DataFrame, epoch: int) -> None:
         found.write.mode("overwrite").parquet(f"{results}/epoch={epoch}")
 
-    usual = spark.conf.get("spark.sql.shuffle.partitions")
-    parts = min(int(usual), state_partitions or spark.sparkContext.defaultParallelism)
-    try:
-        # A stream takes the settings that are there when it starts.
-        spark.conf.set("spark.sql.shuffle.partitions", parts)
+    parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), state_partitions or spark.sparkContext.defaultParallelism)
+    # A stream takes the settings that are there when it starts.
+    with setting(spark, "spark.sql.shuffle.partitions", parts):
         stream = (
             news.writeStream.foreachBatch(say)
             .outputMode("update")
@@ -132,7 +130,5 @@ def stream_first_seen_hosts(
             .trigger(availableNow=True)
             .start()
         )
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", usual)
     stream.awaitTermination()
     return spark.read.schema(_SEEN).parquet(results).groupBy("host").agg(F.min("first_seen").alias("first_seen"))

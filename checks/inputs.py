@@ -43,6 +43,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(line_no, line): every event as a log line; every 97th is garbage."""
+    return _as_lines(table(spark, sf_dir, "events"))
+
+
+def _as_lines(events: DataFrame, *also: str) -> DataFrame:
     event_id = F.col("event_id")
     status = F.when(
         F.col("event_type") == "error", F.when(event_id % 2 == 0, F.lit("404")).otherwise("500")
@@ -64,8 +68,8 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         size,
     )
     garbage = F.concat(F.lit("garbage "), event_id.cast("string"))
-    return table(spark, sf_dir, "events").select(
-        event_id.alias("line_no"), F.when(event_id % 97 == 0, garbage).otherwise(line).alias("line")
+    return events.select(
+        *also, event_id.alias("line_no"), F.when(event_id % 97 == 0, garbage).otherwise(line).alias("line")
     )
 
 
@@ -131,11 +135,11 @@ def log_folder(spark: SparkSession, sf_dir: str) -> str:
 
     def write():
         root = scratch_path(spark, "log-files")
-        chunk = F.expr(f"lpad(cast(line_no div {FILE_LINES} AS string), 9, '0')")
+        chunk = F.expr(f"lpad(cast(event_id div {FILE_LINES} AS string), 9, '0')")
+        # Events are in few splits: they are dealt out first and become lines in all tasks.
+        events = table(spark, sf_dir, "events").withColumn("chunk", chunk).repartition("chunk")
         (
-            log_lines(spark, sf_dir)
-            .withColumn("chunk", chunk)
-            .repartition("chunk")
+            _as_lines(events, "chunk")
             .sortWithinPartitions("chunk", "line_no")
             .select("chunk", "line")
             .write.partitionBy("chunk")

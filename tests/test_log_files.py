@@ -9,6 +9,7 @@ from accesslens.operators.aggregates import daily_traffic
 from accesslens.operators.batching import batch_by_file, batch_by_record_count, number_lines
 from accesslens.session import stage
 from accesslens.sources import list_log_files, log_table_view, scan_log_text, with_file_no
+from accesslens.sources.log_files import open_logs
 
 LINE = '%s - - [01/Jul/1995:00:00:01 -0400] "GET /%s HTTP/1.0" 200 %d'
 
@@ -161,3 +162,21 @@ def test_numbers_are_the_same_without_any_broadcast(spark, folder, small_splits,
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert got == [line for _, line in expected_lines(log_paths(folder))]
+
+
+def test_many_folders_are_listed_in_few_tasks(spark, tmp_path):
+    """Spark alone takes a task per folder."""
+    for n in range(70):
+        (tmp_path / f"chunk={n}").mkdir()
+        (tmp_path / f"chunk={n}" / "log_1").write_text("x\n")
+    context, setting = spark.sparkContext, "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    usual = spark.conf.get(setting)
+    context.setJobGroup("listing", "")
+    try:
+        assert open_logs(spark, f"{tmp_path}/chunk=*", "log_").count() == 70
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    stages = [tracker.getStageInfo(s) for job in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(job).stageIds]
+    assert max(stage.numTasks for stage in stages) <= 4 * context.defaultParallelism < 70
+    assert spark.conf.get(setting) == usual
