@@ -47,6 +47,13 @@ def _tokens(packed: int) -> list[int]:
     return found[::-1]
 
 
+def _first(packed: int) -> int:
+    """The first open token of a reading, as it is packed."""
+    while packed > TOKENS:
+        packed >>= TOKEN_BITS
+    return packed
+
+
 def _reading(tokens: list[int], node: int) -> int:
     packed = 0
     for token in tokens:
@@ -175,21 +182,33 @@ class MergeTransducer:
     def _step(self, state: tuple[int, ...], byte: int) -> tuple[tuple[int, ...], tuple[int, ...]]:
         """The readings after one more byte, and the tokens that all of them share by now."""
         readings, children, inner, token_at, settled = [], self.children, self.inner, self.token_at, state[0]
+        agreeing, complete = self.agreeing, False
         for reading in state[1:]:
-            child = children.get((reading & NODES) << 8 | byte)
+            node = reading & NODES
+            child = children.get(node << 8 | byte)
             if child is None:
                 continue
-            open_tokens = reading >> NODE_BITS
             if child in inner:
-                readings.append(open_tokens << NODE_BITS | child)
+                readings.append(reading - node + child)
             token = token_at[child]
-            if token != NOTHING and self.agree((open_tokens & TOKENS) - 1 if open_tokens else settled, token):
-                readings.append((open_tokens << TOKEN_BITS | token + 1) << NODE_BITS)
+            # A prefix has one complete reading: once it is found, no other token ends here.
+            if token != NOTHING and not complete:
+                open_tokens = reading >> NODE_BITS
+                before = open_tokens & TOKENS if open_tokens else settled + 1
+                agrees = agreeing.get(before << TOKEN_BITS | token)
+                if agrees is None:
+                    agrees = self.agree(before - 1, token)
+                if agrees:
+                    complete = True
+                    readings.append((open_tokens << TOKEN_BITS | token + 1) << NODE_BITS)
         # The first reading began its token first, so no other has fewer open tokens.
         if readings[0] <= NODES:
             return (settled, *readings), ()
-        paths = [_tokens(reading >> NODE_BITS) for reading in readings]
-        shared = next((i for i, one in enumerate(zip(*paths)) if len(set(one)) > 1), len(paths[0]))
+        shared = 0
+        # The readings that differ most are the first and the last; only if they agree are all taken apart.
+        if _first(readings[0] >> NODE_BITS) == _first(readings[-1] >> NODE_BITS):
+            paths = [_tokens(reading >> NODE_BITS) for reading in readings]
+            shared = next((i for i, one in enumerate(zip(*paths)) if len(set(one)) > 1), len(paths[0]))
         if not shared:
             # Every reading has a token after the settled one, which decides nothing any more.
             return (NOTHING, *readings), ()

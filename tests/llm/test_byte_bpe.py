@@ -56,6 +56,19 @@ def test_forgetting_changes_nothing(library, monkeypatch, texts):
     assert len(small.transducer.states) <= 40
 
 
+def test_steps_look_no_further_than_they_have_to(texts, monkeypatch):
+    """A prefix has one last token: none is tried after it. Readings that differ at once are not taken apart."""
+    apart = []
+    tokens = byte_bpe._tokens
+    monkeypatch.setattr(byte_bpe, "_tokens", lambda packed: apart.append(packed) or tokens(packed))
+    fresh = byte_bpe.ByteBpe(PATH, public_tokenizers.PATTERN)
+    for _, text in texts:
+        fresh.ids(text or "")
+    transducer = fresh.transducer
+    assert len(transducer.agreeing) < len(transducer.steps)
+    assert len(apart) < 2 * len(transducer.steps)
+
+
 def test_lookahead_is_bounded(ours):
     """A run of a million bytes: no state holds readings longer than the longest token."""
     transducer = ours.transducer
