@@ -77,7 +77,7 @@ def build_session(
 
 
 @contextmanager
-def setting(spark: SparkSession, name: str, value: int) -> Iterator[None]:
+def setting(spark: SparkSession, name: str, value: int | str) -> Iterator[None]:
     """A session setting that holds within the block, for what is planned or started there."""
     usual = spark.conf.get(name)
     spark.conf.set(name, value)
