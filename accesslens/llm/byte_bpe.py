@@ -18,6 +18,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +29,8 @@ from accesslens.llm.tokens import ChunkIds
 # States, and pairs of tokens, that a worker remembers before it starts anew (some 200 MB); results do not change.
 STATES = 300_000
 PAIRS = 100_000
+# Steps remembered for each of these states, on the average.
+STEPS = 4
 ROOT = 0
 NOTHING = -1
 NODE_BITS = 24
@@ -93,6 +96,8 @@ class MergeTransducer:
         self.states: list[tuple[int, ...]] = []
         self.number_of: dict[tuple[int, ...], int] = {}
         self.steps: dict[int, tuple[int, tuple[int, ...]]] = {}
+        # Equal outputs of steps are one object.
+        self.outputs: dict[tuple[int, ...], tuple[int, ...]] = {}
         self.ends: dict[int, list[int]] = {}
         # What the first bytes of pieces lead to: one step instead of several.
         self.begins: dict[bytes, tuple[int, list[int]]] = {}
@@ -217,12 +222,12 @@ class MergeTransducer:
         return (emitted[-1] if kept[0] <= NODES else NOTHING, *kept), tuple(emitted)
 
     def _determinise(self, number: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        if len(self.states) >= STATES:
+        if len(self.states) >= STATES or len(self.steps) >= STATES * STEPS:
             state = self.states[number]
             self._forget()
             number = self._number(state)
         state, emitted = self._step(self.states[number], byte)
-        reached = self.steps[number << 8 | byte] = self._number(state), emitted
+        reached = self.steps[number << 8 | byte] = self._number(state), self.outputs.setdefault(emitted, emitted)
         return reached
 
     def _read(self, state: int, data: bytes) -> tuple[int, list[int]]:
@@ -246,6 +251,8 @@ class MergeTransducer:
         begun = self.begins.get(piece[:HEAD])
         if begun is None:
             begun = self._read(self.start, piece[:HEAD])
+            if len(self.begins) >= STATES:
+                self.begins.clear()
             self.begins[piece[:HEAD]] = begun
         state, found = begun
         if len(piece) > HEAD:
@@ -439,6 +446,39 @@ def token_text(ids: Column, path: str, pattern: str) -> Column:
     return of(ids)
 
 
+def _joined(kind: pa.DataType, values: bytearray, ends: list[int]) -> pa.Array:
+    """Values that follow each other, as one array over the same bytes."""
+    offsets = np.array([0, *ends], np.int32)
+    return pa.Array.from_buffers(kind, len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(values)])
+
+
+def ids_and_text(text: Column, path: str, pattern: str) -> Column:
+    """(ids, decoded): the ids of a text and the text read back from them; null counts as empty.
+
+    One call makes both: Spark would run a function that another one reads once more for it. Of a
+    batch no more than one text is held as Python objects.
+    """
+
+    @F.arrow_udf("ids binary, decoded string")
+    def of(texts: pa.Array) -> pa.Array:
+        bpe = byte_bpe(path, pattern)
+        ids, ids_ends, decoded, decoded_ends = bytearray(), [], bytearray(), []
+        gc.disable()
+        try:
+            for one in texts:
+                found = bpe.ids(one.as_py())
+                ids += found
+                ids_ends.append(len(ids))
+                decoded += bpe.text(found).encode()
+                decoded_ends.append(len(decoded))
+        finally:
+            gc.enable()
+        columns = [_joined(pa.binary(), ids, ids_ends), _joined(pa.string(), decoded, decoded_ends)]
+        return pa.StructArray.from_arrays(columns, ["ids", "decoded"])
+
+    return of(filled(text))
+
+
 def encode_and_decode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
     """The input's rows and columns, and `n_tokens`, `ids` and `decoded`: the text read back from them.
 
@@ -447,10 +487,10 @@ def encode_and_decode(docs: DataFrame, path: str, pattern: str, text: str = "tex
     to the empty text. Every row is encoded by itself, so repeated rows and null ids stay as they
     are; outputs replace input columns of their names. An empty table gives an empty result.
     """
-    rows = whole_rows(docs).withColumn("_ids", token_ids(F.col("_row")[text], path, pattern))
+    rows = whole_rows(docs).withColumn("_made", ids_and_text(F.col("_row")[text], path, pattern))
     outputs = {
-        "n_tokens": (F.octet_length("_ids") / 4).cast("bigint"),
-        "ids": F.col("_ids"),
-        "decoded": token_text(F.col("_ids"), path, pattern),
+        "n_tokens": (F.octet_length("_made.ids") / 4).cast("bigint"),
+        "ids": F.col("_made.ids"),
+        "decoded": F.col("_made.decoded"),
     }
     return with_outputs(rows, docs.columns, outputs)

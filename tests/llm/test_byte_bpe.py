@@ -101,6 +101,35 @@ def test_bytes_that_are_no_utf8(ours):
     assert shown == ["", "é", "", "", "", "\U0001f600"] and decoder.finish() == ""
 
 
+def test_remembered_steps_are_bounded(library, monkeypatch, texts):
+    monkeypatch.setattr(byte_bpe, "STATES", 50)
+    monkeypatch.setattr(byte_bpe, "STEPS", 1)
+    small = byte_bpe.ByteBpe(PATH, public_tokenizers.PATTERN)
+    transducer = small.transducer
+    for _, text in texts[:20]:
+        assert small.ids(text) == packed(library.encode_ordinary(text))
+        assert len(transducer.begins) <= 50 and len(transducer.steps) <= 50
+    emitted = [step[1] for step in transducer.steps.values()]
+    assert len(set(map(id, emitted))) == len(set(emitted))
+
+
+def test_texts_are_encoded_once(spark):
+    """Decoding reads the ids of the same call, so Spark does not encode a second time for it."""
+    query = LLM_QUERIES["op13_byte_bpe"](spark, SMOKE_DATA)
+    plan = query._jdf.queryExecution().optimizedPlan().toString()
+    made = next(line for line in plan.split("\n") if "ArrowEvalPython" in line)
+    assert made.count("of(") == 1
+
+
+def test_ids_and_text_alone(spark, library):
+    rows = spark.createDataFrame([("don't é 中文\U0001f600",), ("",), (None,)], "text string").repartition(2)
+    path, pattern = PATH, public_tokenizers.PATTERN
+    made = rows.select("text", byte_bpe.token_ids(rows.text, path, pattern).alias("ids"))
+    made = made.withColumn("read", byte_bpe.token_text(made.ids, path, pattern))
+    for text, ids, read in made.collect():
+        assert bytes(ids) == packed(library.encode_ordinary(text or "")) and read == (text or "")
+
+
 def test_query(spark, texts, library):
     rows = LLM_QUERIES["op13_byte_bpe"](spark, SMOKE_DATA).collect()
     wanted = []
